@@ -178,12 +178,16 @@ def profile_rows(parsed: DataFrame, departments: DataFrame) -> DataFrame:
     report's own array, so the only join is with the departments dictionary.
     """
     risks = F.col("risks")
-    last = {key: F.get(F.reverse(F.filter(risks, lambda r, k=key: r["risk_key"] == k)), F.lit(0)) for key in INDICATORS}
+
+    def last(key: str) -> Column:
+        return F.get(F.reverse(F.filter(risks, lambda r: r["risk_key"] == key)), F.lit(0))
+
+    found = {key: last(key) for key in INDICATORS}
     others = [c for c in parsed.columns if c != "risks"]
     wide = parsed.select(
         *others,
         truncate(F.col("code_postal"), 2).alias("department_code"),
-        *[c.alias(name) for name, c in {**_measures(risks), **_indicator_columns(last)}.items()],
+        *[c.alias(name) for name, c in {**_measures(risks), **_indicator_columns(found)}.items()],
     )
     return enrich(
         wide,

@@ -13,7 +13,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.globStatus(hadoop_path))
 
 
-def read_documents(spark: SparkSession, path: str, schema: StructType, *, lines: bool = False) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, schema: StructType | str, *, lines: bool = False) -> DataFrame:
     """JSON documents, one per file or (``lines``) one per line; .gz is read by its suffix.
 
     A gzip file cannot be split, so large feeds should come as many files or as JSON lines.
@@ -28,9 +28,8 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_dictionary(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_dictionary(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Dictionary document; a missing or unreadable file is an empty dictionary."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
-    return rows
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)

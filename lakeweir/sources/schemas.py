@@ -119,7 +119,7 @@ MONITORING: dict[str, Table] = {
 }
 
 # Raw documents. Ids and times arrive as text or numbers; Spark reads both as text.
-ALERT_DOCUMENT = StructType.fromDDL(
+ALERT_DOCUMENT = (
     "timelaps array<struct<domain_id: string, timelaps_items: array<struct<"
     "phenomenon_id: string, color_id: string, begin_time: string, end_time: string>>>>"
 )
