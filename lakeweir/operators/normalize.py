@@ -76,26 +76,36 @@ def split_reports(documents: DataFrame, text: str = "document") -> DataFrame:
 
 
 def _section(entries: Column, category: str) -> Column:
-    """Entries of one section that are objects, as an array of risk structs."""
+    """Entries of one section that are objects, as an array of risk structs.
 
-    def risk(pair: Column) -> Column:
-        body = F.from_json(pair["value"], RISK_ENTRY)
-        commune = F.coalesce(body["libelleStatutCommune"], F.lit(""))
-        address = F.coalesce(body["libelleStatutAdresse"], F.lit(""))
-        level = severity(first_filled(commune, address))
+    Three passes over the array, so that each text is parsed once and each status looked at once;
+    inside one lambda every use of the parsed value would parse it again.
+    """
+
+    def opened(pair: Column) -> Column:
+        return F.struct(pair["key"].alias("key"), F.from_json(pair["value"], RISK_ENTRY).alias("body"))
+
+    def told(entry: Column) -> Column:
+        body = entry["body"]
+        status = first_filled(body["libelleStatutCommune"], F.coalesce(body["libelleStatutAdresse"], F.lit("")))
+        return F.struct(entry["key"].alias("key"), body.alias("body"), severity(status).alias("level"))
+
+    def risk(entry: Column) -> Column:
+        body, level = entry["body"], entry["level"]
         return F.struct(
             F.lit(category).alias("risk_category"),
-            pair["key"].alias("risk_key"),
-            F.coalesce(body["libelle"], pair["key"]).alias("libelle"),
+            entry["key"].alias("risk_key"),
+            F.coalesce(body["libelle"], entry["key"]).alias("libelle"),
             F.coalesce(body["present"], F.lit(False)).alias("present"),
-            commune.alias("statut_commune"),
-            address.alias("statut_adresse"),
+            F.coalesce(body["libelleStatutCommune"], F.lit("")).alias("statut_commune"),
+            F.coalesce(body["libelleStatutAdresse"], F.lit("")).alias("statut_adresse"),
             level["label"].alias("severity_label"),
             level["score"].alias("severity_score"),
         )
 
     objects = F.filter(F.map_entries(entries), lambda pair: F.ltrim(pair["value"]).startswith("{"))
-    return F.coalesce(F.transform(objects, risk), F.array())
+    risks = F.transform(F.transform(F.transform(objects, opened), told), risk)
+    return F.coalesce(risks, F.array())
 
 
 def parse_reports(reports: DataFrame) -> DataFrame:

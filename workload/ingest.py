@@ -40,41 +40,52 @@ def _departments(t: Tables) -> DataFrame:
     )
 
 
+_ITEMS = "array<struct<phenomenon_id: string, color_id: bigint, begin_time: bigint, end_time: string>>"
+
+
 def _alert_documents(t: Tables) -> DataFrame:
-    """One JSON document per user and day; ids and times as numbers or text, some of them bad."""
-    item = F.struct(
-        F.when(F.col("event_id") % 7 == 0, F.lit("x"))
-        .otherwise(_phenomenon_id(F.col("event_type")).cast("string"))
-        .alias("phenomenon_id"),
-        F.col("event_id").alias("seq"),
-        (F.col("event_id") % 5).alias("color_id"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("begin_time"),
-        F.when(F.col("event_id") % 11 == 0, F.lit(""))
-        .otherwise((F.unix_millis(F.col("ts").cast("timestamp")) + 3600000).cast("string"))
-        .alias("end_time"),
+    """One JSON document per event: a place with two items and one without any.
+
+    Ids and times come as numbers or text, some of them bad.
+    """
+    millis = F.unix_millis(F.col("ts").cast("timestamp"))
+
+    def item(n: int):
+        return F.struct(
+            F.when(F.col("event_id") % 7 == n, F.lit("x"))
+            .otherwise(_phenomenon_id(F.col("event_type")).cast("string"))
+            .alias("phenomenon_id"),
+            ((F.col("event_id") + n) % 5).alias("color_id"),
+            (millis + n).alias("begin_time"),
+            F.when(F.col("event_id") % 11 == n, F.lit("")).otherwise((millis + 3600000).cast("string")).alias("end_time"),
+        )
+
+    place = (F.col("user_id") % 30).cast("string")
+    items = F.array(item(0), item(1))
+    entries = F.array(
+        F.struct(place.alias("domain_id"), items.alias("timelaps_items")),
+        F.struct(F.lit("99").alias("domain_id"), F.lit(None).cast(_ITEMS).alias("timelaps_items")),
     )
-    grouped = t.events.groupBy((F.col("user_id") % 30).cast("string").alias("domain_id"), F.to_date("ts").alias("day")).agg(
-        F.collect_list(item).alias("timelaps_items")
+    return t.events.select(
+        F.to_json(F.struct(entries.alias("timelaps"))).alias("document"), F.to_date("ts").alias("extraction_date")
     )
-    entry = F.array(F.struct("domain_id", "timelaps_items"))
-    return grouped.select(F.to_json(F.struct(entry.alias("timelaps"))).alias("document"), F.col("day").alias("extraction_date"))
-
-
-_BOTH = "event_id % 11 <> 0"
 
 
 @query(
-    f"""SELECT CAST(user_id % 30 AS VARCHAR) AS department_code, coalesce(n_name, 'inconnu') AS department_name,
-    CASE WHEN event_id % 7 = 0 THEN 0 ELSE CAST(list_position(['click','error','purchase','signup','view'], event_type) AS INTEGER) END AS phenomenon_id,
-    CASE WHEN event_id % 7 = 0 OR event_type = 'view' THEN 'autre' ELSE event_type END AS phenomenon_name,
-    CASE WHEN {_BOTH} THEN date_trunc('millisecond', ts) END AS begin_time,
-    CASE WHEN {_BOTH} THEN date_trunc('millisecond', ts) + INTERVAL 1 HOUR END AS end_time,
-    CAST(event_id % 5 AS INTEGER) AS color_id,
-    coalesce(lower(r_name), 'vert') AS color_name, coalesce(CAST(r_regionkey + 1 AS INTEGER), 1) AS color_level,
+    """WITH items AS (SELECT *, date_trunc('millisecond', ts) + to_milliseconds(n) AS b,
+             event_id % 11 <> n AS good, event_id % 7 = n AS odd, (event_id + n) % 5 AS color
+      FROM events, (VALUES (0), (1)) v(n))
+    SELECT CAST(user_id % 30 AS VARCHAR) AS department_code, coalesce(n_name, 'inconnu') AS department_name,
+    CASE WHEN odd THEN 0 ELSE CAST(list_position(['click','error','purchase','signup','view'], event_type) AS INTEGER) END AS phenomenon_id,
+    CASE WHEN odd OR event_type = 'view' THEN 'autre' ELSE event_type END AS phenomenon_name,
+    CASE WHEN good THEN b END AS begin_time,
+    CASE WHEN good THEN date_trunc('millisecond', ts) + INTERVAL 1 HOUR END AS end_time,
+    CAST(color AS INTEGER) AS color_id, coalesce(lower(r_name), 'vert') AS color_name,
+    coalesce(CAST(r_regionkey + 1 AS INTEGER), 1) AS color_level,
     coalesce('#0000' || lpad(CAST(r_regionkey AS VARCHAR), 2, '0'), '#31a354') AS color_hex,
     CAST(CAST(ts AS DATE) AS TIMESTAMP) AS extracted_at, CAST(ts AS DATE) AS extraction_date
-    FROM events LEFT JOIN nation ON CAST(user_id % 30 AS INTEGER) = n_nationkey
-    LEFT JOIN region ON event_id % 5 = r_regionkey AND r_regionkey BETWEEN 1 AND 3"""
+    FROM items LEFT JOIN nation ON CAST(user_id % 30 AS INTEGER) = n_nationkey
+    LEFT JOIN region ON color = r_regionkey AND r_regionkey BETWEEN 1 AND 3"""
 )
 def alert_explode(t: Tables) -> DataFrame:
     documents = _alert_documents(t).select(
@@ -457,7 +468,7 @@ def page_books(t: Tables) -> DataFrame:
 
 
 def _listing_pages(t: Tables) -> DataFrame:
-    """Listing pages by brand and size, one article per part, as lists of articles joined to one text."""
+    """Listing pages of up to twenty parts each, one article per part."""
     key = F.col("p_partkey").cast("string")
     href = F.element_at(
         F.array(
@@ -470,17 +481,17 @@ def _listing_pages(t: Tables) -> DataFrame:
         '<li><article class="product_pod"><div><a href="x"><img src="y"></a></div><h3><a href="', href, '" title="',
         F.col("p_name"), '">', F.left("p_name", F.lit(3)), "...</a></h3></article>",
     )
-    listed = t.part.groupBy("p_brand", "p_size", "p_type").agg(
+    listed = t.part.groupBy(F.floor(F.col("p_partkey") / 20).alias("page")).agg(
         F.array_sort(F.collect_list(F.struct("p_partkey", article.alias("article")))).alias("articles")
     )
     body = F.array_join(F.col("articles.article"), "")
-    url = _lit_concat("https://books.example/", F.col("p_brand"), "/", F.col("p_size").cast("string"), "/", F.col("p_type"))
+    url = _lit_concat("https://books.example/page-", F.col("page").cast("string"))
     return listed.select(url.alias("url"), _lit_concat("<html><body><ol>", body, "</ol></body></html>").alias("html"))
 
 
 @query(
-    """SELECT 'https://books.example/' || p_brand || '/' || CAST(p_size AS VARCHAR) || '/' || p_type AS page_url,
-    CAST(row_number() OVER (PARTITION BY p_brand, p_size, p_type ORDER BY p_partkey) - 1 AS INTEGER) AS position,
+    """SELECT 'https://books.example/page-' || CAST(p_partkey // 20 AS VARCHAR) AS page_url,
+    CAST(row_number() OVER (PARTITION BY p_partkey // 20 ORDER BY p_partkey) - 1 AS INTEGER) AS position,
     'https://books.example/catalogue/' || CAST(p_partkey AS VARCHAR) || '/index.html' AS url, p_name AS title FROM part"""
 )
 def page_listing(t: Tables) -> DataFrame:
