@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeweir.operators.rows import computed
+
 SPARK_TYPE = {"str": "string", "int": "bigint", "float": "double", "bool": "boolean"}
 EXTRAS = "metadata_json"
 
@@ -188,23 +190,14 @@ def validate_json(df: DataFrame, raw: str, contract: Contract) -> DataFrame:
     other than ``raw`` pass through.
     """
     others = [c for c in df.columns if c != raw and c not in (*contract.names, EXTRAS, "errors")]
-    parsed = df.select(*others, F.col(raw).alias("__raw"), F.try_parse_json(raw).alias("__v"))
-    items = parsed.select(
-        *others,
-        "__raw",
-        (F.col("__v").isNotNull() & F.schema_of_variant("__v").startswith("OBJECT")).alias("__object"),
-        *[F.try_variant_get("__v", f"$.{f.name}", "string").alias(f"__t_{f.name}") for f in contract.fields],
-        *[
-            F.schema_of_variant(F.try_variant_get("__v", f"$.{f.name}", "variant")).alias(f"__k_{f.name}")
-            for f in contract.fields
-        ],
-    )
-    typed = items.select(
-        *others,
-        "__raw",
-        "__object",
-        *[F.col(f"__k_{f.name}") for f in contract.fields],
-        *[_coerced(f, F.col(f"__k_{f.name}"), F.col(f"__t_{f.name}")).alias(f.name) for f in contract.fields],
+    parsed = computed(df.select(*others, F.col(raw).alias("__raw")), {"__v": F.try_parse_json("__raw")})
+    items = {"__object": F.col("__v").isNotNull() & F.schema_of_variant("__v").startswith("OBJECT")}
+    for f in contract.fields:
+        items[f"__t_{f.name}"] = F.try_variant_get("__v", f"$.{f.name}", "string")
+        items[f"__k_{f.name}"] = F.schema_of_variant(F.try_variant_get("__v", f"$.{f.name}", "variant"))
+    opened = computed(parsed, items).drop("__v")
+    typed = computed(
+        opened, {f.name: _coerced(f, F.col(f"__k_{f.name}"), F.col(f"__t_{f.name}")) for f in contract.fields}
     )
     errors = [F.when(~F.col("__object"), F.lit("record:not_an_object"))]
     for f in contract.fields:
@@ -225,11 +218,14 @@ def validate_json(df: DataFrame, raw: str, contract: Contract) -> DataFrame:
     extras = F.map_filter(
         F.from_json(F.col("__raw"), "map<string,variant>"), lambda k, _: ~k.isin(contract.names)
     )
-    return typed.select(
+    result = computed(
+        typed, {"__extras": F.when(F.col("__object"), extras), "errors": F.array_compact(F.array(*errors))}
+    )
+    return result.select(
         *others,
         *filled,
-        F.when(F.col("__object") & (F.size(extras) > 0), F.to_json(extras)).alias(EXTRAS),
-        F.array_compact(F.array(*errors)).alias("errors"),
+        F.when(F.size("__extras") > 0, F.to_json("__extras")).alias(EXTRAS),
+        "errors",
     )
 
 

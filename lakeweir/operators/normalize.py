@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeweir.functions import digits_or_zero, epoch_millis, first_filled, severity, truncate
 from lakeweir.operators.enrich import DEFAULT_COLOR, UNKNOWN_PHENOMENON, UNKNOWN_PLACE, enrich
+from lakeweir.operators.rows import computed
 from lakeweir.sources.schemas import RISK_ENTRY, RISK_SECTION
 
 NATURAL, TECHNOLOGICAL = "naturel", "technologique"
@@ -121,15 +122,16 @@ def parse_reports(reports: DataFrame) -> DataFrame:
         "commune struct<libelle: string, codePostal: string>, "
         f"risquesNaturels {RISK_SECTION}, risquesTechnologiques {RISK_SECTION}",
     )
-    opened = reports.select("insee_code", *others, body.alias("body"))
-    return opened.select(
+    opened = computed(reports.select("insee_code", *others, "report"), {"body": body}).drop("report")
+    risks = F.concat(
+        _section(F.col("body.risquesNaturels"), NATURAL),
+        _section(F.col("body.risquesTechnologiques"), TECHNOLOGICAL),
+    )
+    return computed(opened, {"risks": risks}).select(
         "insee_code",
         F.coalesce("body.commune.libelle", F.lit("")).alias("commune"),
         F.coalesce("body.commune.codePostal", F.lit("")).alias("code_postal"),
-        F.concat(
-            _section(F.col("body.risquesNaturels"), NATURAL),
-            _section(F.col("body.risquesTechnologiques"), TECHNOLOGICAL),
-        ).alias("risks"),
+        "risks",
         *others,
     )
 

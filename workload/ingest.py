@@ -274,15 +274,18 @@ def dictionary_enrich(t: Tables) -> DataFrame:
 
 @query(
     f"""WITH {ALERTS}
-    SELECT s_name AS gie_name, trim(department_code) AS department_code, department_name, phenomenon_name, begin_time,
-           end_time, color_name AS alert_level, color_hex, extracted_at, extraction_date
-    FROM alerts JOIN supplier ON trim(department_code) = CAST(s_nationkey AS VARCHAR)"""
+    SELECT s_name AS gie_name, a.department_code, department_name, phenomenon_name, begin_time, end_time,
+           color_name AS alert_level, color_hex, a.extracted_at, a.extraction_date
+    FROM (SELECT * REPLACE (CAST(user_id AS VARCHAR) AS department_code) FROM alerts JOIN events ON id = event_id) a
+    JOIN supplier ON a.department_code = CAST(s_suppkey // 2 AS VARCHAR)"""
 )
 def store_alerts(t: Tables) -> DataFrame:
+    """Two stores per department; departments are users, so that their number grows with the tables."""
     stores = t.supplier.select(
-        F.col("s_name").alias("gie_name"), F.col("s_nationkey").cast("string").alias("department_code")
+        F.col("s_name").alias("gie_name"), F.floor(F.col("s_suppkey") / 2).cast("string").alias("department_code")
     )
-    alerts = t.alerts.withColumn("department_code", F.trim("department_code"))
+    users = t.events.select(F.col("event_id").alias("id"), F.col("user_id").cast("string").alias("code"))
+    alerts = t.alerts.join(users, "id").withColumn("department_code", F.col("code"))
     return enrich.alerts_by_store(alerts, stores)
 
 
@@ -421,6 +424,11 @@ def alert_metadata(t: Tables) -> DataFrame:
 # Pages: rendered by Spark from parts and documents, parsed back by the page operators.
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows of a small file over all cores, before pages are made of them."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _escaped(c):
     return F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
 
@@ -447,7 +455,7 @@ def _book_pages(t: Tables) -> DataFrame:
         "<tr><th>Price (incl. tax)<td>£", (F.col("p_size") * 1.75).cast("string"), "<tr><th>Tax</th><td>none</td></tr>",
         "<tr><th>Availability</th><td>In stock (", (F.col("p_partkey") % 23).cast("string"), " available)</td></tr></table></body></html>",
     )
-    return t.part.select(_lit_concat("https://books.example/catalogue/", key, "/index.html").alias("url"), html.alias("html"))
+    return _spread(t.part).select(_lit_concat("https://books.example/catalogue/", key, "/index.html").alias("url"), html.alias("html"))
 
 
 @query(
@@ -510,7 +518,7 @@ def _quote_pages(t: Tables) -> DataFrame:
         '<div class="quote"><span class="text">“Short ', doc, '”</span><small class="author">Dr. ', F.col("source"),
         " ", F.upper("lang"), "</small></div></div></body></html>",
     )
-    return t.documents.select(_lit_concat("https://quotes.example/page/", doc).alias("url"), html.alias("html"))
+    return _spread(t.documents).select(_lit_concat("https://quotes.example/page/", doc).alias("url"), html.alias("html"))
 
 
 _STRIPPED = r"regexp_replace(regexp_replace('“' || text || '”', '^“+', ''), '”+$', '')"
@@ -546,7 +554,7 @@ def page_authors(t: Tables) -> DataFrame:
         F.when(F.col("c_acctbal") > 5000, _lit_concat(' <span class="author-born-location">in ', F.col("c_mktsegment"), "</span>")).otherwise(""),
         '</p><div class="author-description">\n ', F.col("c_name"), " <i> ", F.col("c_mktsegment"), " </i></div></div>",
     )
-    bios = t.customer.select(_lit_concat("c", key).alias("slug"), html.alias("html"))
+    bios = _spread(t.customer).select(_lit_concat("c", key).alias("slug"), html.alias("html"))
     return pages.author_records(bios, F.lit("2024-01-07 05:00:00").cast("timestamp_ntz"))
 
 

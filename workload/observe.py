@@ -27,7 +27,7 @@ fit AS (SELECT series, count(*) AS n, max(extraction_date) AS last_day, regr_slo
 
 @query(
     f"""WITH {PRICES}
-    SELECT series, extraction_date, round(price, 4) AS price, round(price, 4) AS forecasted_price, false AS is_forecast FROM daily
+    SELECT series, extraction_date, round(price, 7) AS price, round(price, 7) AS forecasted_price, false AS is_forecast FROM daily
     UNION ALL SELECT series, CAST(last_day + CAST(k AS INTEGER) AS DATE), NULL,
       round(greatest(m * (n + k - 1) + b, 0.01), 4), true FROM fit, (SELECT unnest(range(1, 8)) AS k) s"""
 )
@@ -35,8 +35,13 @@ def price_forecast(t: Tables) -> DataFrame:
     prices = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("c_nationkey").alias("series"), F.col("o_orderdate").alias("extraction_date"), F.col("o_totalprice").alias("price")
     )
+    # A day's mean is exact to more digits than a fitted line.
+    value = F.col("forecasted_price")
     return forecast.forecast_prices(prices, ["series"]).withColumns(
-        {c: F.round(c, 4) for c in ("price", "forecasted_price")}
+        {
+            "price": F.round("price", 7),
+            "forecasted_price": F.when(F.col("is_forecast"), F.round(value, 4)).otherwise(F.round(value, 7)),
+        }
     )
 
 
