@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,14 +41,25 @@ def flag_positive(c: Column) -> Column:
 
 
 def severity(status: Column) -> Column:
-    """Struct(label, score) of a status text. ``inexistant`` holds ``existant`` and so scores 1."""
-    lowered = F.lower(status)
-    cases = [
-        (lowered.rlike("|".join(words)), F.struct(F.lit(label).alias("label"), F.lit(score).alias("score")))
-        for words, label, score in SEVERITY_LEVELS
-    ]
-    label, score = UNKNOWN_SEVERITY
-    return _first_match(cases, F.struct(F.lit(label).alias("label"), F.lit(score).alias("score")))
+    """Struct(label, score) of a status text. ``inexistant`` holds ``existant`` and so scores 1.
+
+    The text is lower-cased once, as the single element of an array the cases are mapped over;
+    written out, every keyword would lower-case it again.
+    """
+
+    def level(label: str, score: int) -> Column:
+        return F.struct(F.lit(label).alias("label"), F.lit(score).alias("score"))
+
+    def cases(text: Column) -> Column:
+        return _first_match(
+            [
+                (reduce(lambda a, b: a | b, [text.contains(w) for w in words]), level(label, score))
+                for words, label, score in SEVERITY_LEVELS
+            ],
+            level(*UNKNOWN_SEVERITY),
+        )
+
+    return F.get(F.transform(F.array(F.lower(status)), cases), F.lit(0))
 
 
 def word_rating(word: Column) -> Column:

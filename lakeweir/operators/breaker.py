@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -191,18 +192,19 @@ def breaker_states(
     )
 
     def chain(table: pd.DataFrame) -> pd.DataFrame:
-        src, state, entries = table["source"].iloc[0], (False, 0, 0), []
-        for chunk, part in table.sort_values("chunk").groupby("chunk"):
-            entries.append((src, chunk, *state))
+        state, entries = (False, 0, 0), []
+        ordered = table.sort_values(["chunk", "until"]).itertuples(index=False, name=None)
+        for chunk, lines in groupby(ordered, key=lambda line: line[1]):
+            lines = list(lines)
+            entries.append((lines[0][0], chunk, *state))
             opened, count, since = state
             if opened:
-                hits = part[part["until"].notna() & (part["until"] >= since + pause)]
-                if hits.empty:
-                    continue
-                hit = hits.loc[hits["until"].idxmin()]
+                # NaN compares false, so lines of closed entries drop out.
+                exit_ = next((line[4:] for line in lines if line[3] >= since + pause), None)
             else:
-                hit = part[part["entry_count"] == count].iloc[0]
-            state = (bool(hit["exit_open"]), int(hit["exit_count"]), int(hit["exit_at"]))
+                exit_ = next(line[4:] for line in lines if line[2] == count)
+            if exit_ is not None:
+                state = (bool(exit_[0]), int(exit_[1]), int(exit_[2]))
         return pd.DataFrame(entries, columns=_names(_ENTRY_DDL))
 
     entries = tables.groupBy("source").applyInPandas(chain, _ENTRY_DDL)

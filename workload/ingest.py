@@ -10,7 +10,7 @@ from lakeweir.operators import enrich, normalize, pages, snapshot
 from lakeweir.operators.upsert import upsert
 from lakeweir.sources.schemas import ALERT_DOCUMENT
 from workload.registry import query
-from workload.tables import ALERTS, PROFILES, QUOTES, Tables
+from workload.tables import ALERTS, PROFILES, QUOTES, Tables, spread
 
 # Dictionaries, derived from the given tables. Some ids have no entry.
 
@@ -66,7 +66,7 @@ def _alert_documents(t: Tables) -> DataFrame:
         F.struct(place.alias("domain_id"), items.alias("timelaps_items")),
         F.struct(F.lit("99").alias("domain_id"), F.lit(None).cast(_ITEMS).alias("timelaps_items")),
     )
-    return t.events.select(
+    return spread(t.events).select(
         F.to_json(F.struct(entries.alias("timelaps"))).alias("document"), F.to_date("ts").alias("extraction_date")
     )
 
@@ -424,11 +424,6 @@ def alert_metadata(t: Tables) -> DataFrame:
 # Pages: rendered by Spark from parts and documents, parsed back by the page operators.
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Rows of a small file over all cores, before pages are made of them."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def _escaped(c):
     return F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
 
@@ -455,7 +450,7 @@ def _book_pages(t: Tables) -> DataFrame:
         "<tr><th>Price (incl. tax)<td>£", (F.col("p_size") * 1.75).cast("string"), "<tr><th>Tax</th><td>none</td></tr>",
         "<tr><th>Availability</th><td>In stock (", (F.col("p_partkey") % 23).cast("string"), " available)</td></tr></table></body></html>",
     )
-    return _spread(t.part).select(_lit_concat("https://books.example/catalogue/", key, "/index.html").alias("url"), html.alias("html"))
+    return spread(t.part).select(_lit_concat("https://books.example/catalogue/", key, "/index.html").alias("url"), html.alias("html"))
 
 
 @query(
@@ -518,7 +513,7 @@ def _quote_pages(t: Tables) -> DataFrame:
         '<div class="quote"><span class="text">“Short ', doc, '”</span><small class="author">Dr. ', F.col("source"),
         " ", F.upper("lang"), "</small></div></div></body></html>",
     )
-    return _spread(t.documents).select(_lit_concat("https://quotes.example/page/", doc).alias("url"), html.alias("html"))
+    return spread(t.documents).select(_lit_concat("https://quotes.example/page/", doc).alias("url"), html.alias("html"))
 
 
 _STRIPPED = r"regexp_replace(regexp_replace('“' || text || '”', '^“+', ''), '”+$', '')"
@@ -554,7 +549,7 @@ def page_authors(t: Tables) -> DataFrame:
         F.when(F.col("c_acctbal") > 5000, _lit_concat(' <span class="author-born-location">in ', F.col("c_mktsegment"), "</span>")).otherwise(""),
         '</p><div class="author-description">\n ', F.col("c_name"), " <i> ", F.col("c_mktsegment"), " </i></div></div>",
     )
-    bios = _spread(t.customer).select(_lit_concat("c", key).alias("slug"), html.alias("html"))
+    bios = spread(t.customer).select(_lit_concat("c", key).alias("slug"), html.alias("html"))
     return pages.author_records(bios, F.lit("2024-01-07 05:00:00").cast("timestamp_ntz"))
 
 

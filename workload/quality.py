@@ -10,7 +10,7 @@ from lakeweir.plans import marts, staging
 from lakeweir.plans.contracts import COLUMN_TESTS, TABLE_CHECKS
 from workload.models import DIM_BOOKS, FCT_ALERTS, STG_DETAILS, STG_PROFILES, STG_QUOTES
 from workload.registry import query
-from workload.tables import ALERTS, AUTHORS, BOOKS, DETAILS, METRICS, PROFILES, QUOTES, Tables
+from workload.tables import ALERTS, AUTHORS, BOOKS, DETAILS, METRICS, PROFILES, QUOTES, Tables, spread
 
 BOOK = contracts.CONTRACTS["book"]
 
@@ -43,7 +43,7 @@ def _raw_books(t: Tables) -> DataFrame:
     body.append(F.when(size == 19, F.lit('"shelf":{"row":[1,2]}')))
     record = F.concat(F.lit("{"), F.concat_ws(",", *body), F.lit("}"))
     broken = F.when(size == 20, F.lit("[1, 2]")).when(size == 21, F.lit("{bad")).otherwise(record)
-    return t.part.select("p_partkey", broken.alias("record"))
+    return spread(t.part).select("p_partkey", broken.alias("record"))
 
 
 RAW_BOOKS = """

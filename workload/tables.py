@@ -135,6 +135,11 @@ def _when(column, pairs, default):
     return chain.otherwise(F.lit(default) if not hasattr(default, "_jc") else default)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of one small file over all cores, before raw documents are made of them."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 class Tables:
     """The given tables, and the landing tables derived from them."""
 
