@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 MAX_FAILURES = 2
 COOLDOWN = 300.0
 
+# Chunk number of the state a history starts from.
+_BEFORE = -(1 << 62)
+
 _STREAM = ["source", "chunk", "start", "at", "ok", "entry_open", "entry_count", "entry_at"]
 _TABLE_DDL = (
     "source string, chunk bigint, entry_count int, until bigint, exit_open boolean, exit_count int, exit_at bigint"
@@ -156,14 +159,17 @@ def breaker_states(
     max_failures: int = MAX_FAILURES,
     cooldown: float = COOLDOWN,
     chunk_seconds: float | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """(source, state, failure_count, trips, last_failure_at) of every source at ``as_of``.
 
     ``calls`` is (source, at, ok); calls rejected while open leave the state alone. ``order``
-    breaks ties in time. Chunks are at least twelve cooldowns long, so entries are few.
+    breaks ties in time. ``initial`` is an earlier result to go on from. Any chunk length is
+    right; by default it is an hour or twelve cooldowns, so that entries are few, and a source
+    with very many calls per hour wants shorter ones.
     """
     pause = int(cooldown * 1_000_000)
-    width = max(int((chunk_seconds or 3600) * 1_000_000), 12 * pause, 1)
+    width = max(int((chunk_seconds or max(3600, 12 * cooldown)) * 1_000_000), 1)
     stamp = F.unix_micros(F.col(at).cast("timestamp"))
     ties = [F.col(c).alias(f"tie_{i}") for i, c in enumerate(order or [])]
     tie_names = [f"tie_{i}" for i in range(len(ties))]
@@ -191,11 +197,28 @@ def breaker_states(
         lambda batches: _stream_groups(batches, open_paths, _names(_TABLE_DDL)), _TABLE_DDL
     )
 
+    if initial is not None:
+        opened, last = F.col("state") != "closed", F.unix_micros(F.col("last_failure_at").cast("timestamp"))
+        tables = tables.unionByName(
+            initial.select(
+                "source",
+                F.lit(_BEFORE).alias("chunk"),
+                F.lit(None).cast("int").alias("entry_count"),
+                F.lit(None).cast("bigint").alias("until"),
+                opened.alias("exit_open"),
+                F.when(opened, 0).otherwise(F.col("failure_count")).cast("int").alias("exit_count"),
+                F.coalesce(last, F.lit(0)).alias("exit_at"),
+            )
+        )
+
     def chain(table: pd.DataFrame) -> pd.DataFrame:
         state, entries = (False, 0, 0), []
         ordered = table.sort_values(["chunk", "until"]).itertuples(index=False, name=None)
         for chunk, lines in groupby(ordered, key=lambda line: line[1]):
             lines = list(lines)
+            if chunk == _BEFORE:
+                state = (bool(lines[0][4]), int(lines[0][5]), int(lines[0][6]))
+                continue
             entries.append((lines[0][0], chunk, *state))
             opened, count, since = state
             if opened:
@@ -227,15 +250,32 @@ def breaker_states(
     counted = F.col("since_chunk").isNull() | (F.col("chunk") >= F.col("since_chunk"))
     status = marked.groupBy("source").agg(
         F.sum("trips").alias("trips"),
-        F.coalesce(F.sum(F.when(counted, F.col("failures"))), F.lit(0)).cast("bigint").alias("failure_count"),
+        F.bool_or("reset").alias("reset"),
+        F.coalesce(F.sum(F.when(counted, F.col("failures"))), F.lit(0)).cast("bigint").alias("failures"),
         F.max("last_failure").alias("last_failure"),
         F.max_by(F.struct("exit_open", "exit_at"), "chunk").alias("exit"),
     )
+    if initial is not None:
+        before = initial.select(
+            "source",
+            (F.col("state") != "closed").alias("was_open"),
+            F.col("failure_count").alias("had_failures"),
+            F.col("trips").alias("had_trips"),
+            F.unix_micros(F.col("last_failure_at").cast("timestamp")).alias("had_last"),
+        )
+        went_on = ~F.coalesce("reset", F.lit(False))
+        status = status.join(before, "source", "full").select(
+            "source",
+            (F.coalesce("trips", F.lit(0)) + F.coalesce("had_trips", F.lit(0))).alias("trips"),
+            (F.coalesce("failures", F.lit(0)) + F.when(went_on, F.coalesce("had_failures", F.lit(0))).otherwise(0)).alias("failures"),
+            F.coalesce("last_failure", "had_last").alias("last_failure"),
+            F.coalesce("exit", F.struct(F.col("was_open").alias("exit_open"), F.col("had_last").alias("exit_at"))).alias("exit"),
+        )
     cooled = F.unix_micros(as_of.cast("timestamp")) - F.col("exit.exit_at") >= pause
     return status.select(
         "source",
         F.when(~F.col("exit.exit_open"), "closed").when(cooled, "half_open").otherwise("open").alias("state"),
-        "failure_count",
+        F.col("failures").alias("failure_count"),
         "trips",
         F.timestamp_micros("last_failure").cast("timestamp_ntz").alias("last_failure_at"),
     )

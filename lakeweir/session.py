@@ -18,6 +18,15 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+# Sizes for a large cluster: many small shuffle partitions that adaptive execution merges to the
+# advisory size, so a shuffle of any size gets partitions that fit an executor.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the library's settings to a session somebody else built."""
@@ -33,7 +42,13 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
         builder = builder.master(master)
     for key, value in {**SETTINGS, "spark.ui.enabled": "false", **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local"):
+        given = spark.sparkContext.getConf()
+        for key, value in CLUSTER_SETTINGS.items():
+            if not given.contains(key):
+                spark.conf.set(key, value)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:

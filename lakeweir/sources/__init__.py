@@ -5,6 +5,7 @@ from lakeweir.sources.documents import read_dictionary, read_documents, read_pag
 from lakeweir.sources.sinks import (
     append_log,
     latest_entries,
+    materialize,
     replace_partitions,
     replace_snapshot,
     split_quarantine,
@@ -18,6 +19,7 @@ __all__ = [
     "Dataset",
     "append_log",
     "latest_entries",
+    "materialize",
     "read_dictionary",
     "read_documents",
     "read_pages",

@@ -157,3 +157,20 @@ def split_quarantine(
 def write_report_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
     """Replace a serving table in a database, keeping its definition (truncate, then insert)."""
     df.write.format("jdbc").options(url=url, dbtable=table, truncate="true", **options).mode("overwrite").save()
+
+
+def materialize(df: DataFrame, name: str, kind: str = "view", **incremental) -> None:
+    """Make a model known by name: ``view``, ``table`` or ``incremental``.
+
+    ``incremental`` takes the arguments of ``upsert_table`` and registers its files as a view.
+    """
+    spark = df.sparkSession
+    if kind == "view":
+        df.createOrReplaceTempView(name)
+    elif kind == "table":
+        df.write.mode("overwrite").saveAsTable(name)
+    elif kind == "incremental":
+        upsert_table(df, schema=df.schema, **incremental)
+        spark.read.schema(df.schema).parquet(incremental["path"]).createOrReplaceTempView(name)
+    else:
+        raise ValueError(f"{name}: kind {kind!r}")

@@ -1,59 +1,69 @@
-"""Breaker state per source, kept between micro-batches."""
+"""Breaker states kept up to date from a stream of calls."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.query import StreamingQuery
+
+from lakeweir.operators.breaker import COOLDOWN, MAX_FAILURES, breaker_states
+from lakeweir.sources.documents import path_exists
 
-from lakeweir.operators.breaker import COOLDOWN, MAX_FAILURES
 
-_OUT = "source string, state string, failure_count bigint, trips bigint, last_call_at bigint"
-_STATE = "opened boolean, streak bigint, at bigint, trips bigint"
+def latest_states(states: DataFrame, before: int | None = None) -> DataFrame:
+    """States after the newest micro-batch, or after the newest one before ``before``."""
+    if before is not None:
+        states = states.where(F.col("batch") < before)
+    newest = states.agg(F.max("batch").alias("b")).scalar()
+    return states.where(F.col("batch") == newest).drop("batch")
 
 
-def breaker_updates(
+def breaker_stream(
     calls: DataFrame,
+    path: str,
+    checkpoint: str,
     *,
-    source: str = "source",
     at: str = "ts",
-    ok: str = "ok",
+    order: list[str] | None = None,
     max_failures: int = MAX_FAILURES,
     cooldown: float = COOLDOWN,
-) -> DataFrame:
-    """State of every source seen in a micro-batch, after its last call; use output mode update.
+) -> StreamingQuery:
+    """Start a query that writes every source's state after each micro-batch below ``path``.
 
-    The state kept is four numbers per source. Calls are ordered in time within a micro-batch, so
-    its size (files per batch) bounds what one source collects.
+    A micro-batch runs through the same parallel operator as a whole history, starting from the
+    states before it, so no source's calls are gathered in one task. Each micro-batch replaces
+    its own folder, which makes running one again harmless. States are as of the micro-batch's
+    last call; read them with ``latest_states``.
     """
-    pause = int(cooldown * 1_000_000)
-
-    def follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        opened, streak, since, trips = state.get if state.exists else (False, 0, 0, 0)
-        rows = pd.concat(list(batches)).sort_values("at", kind="stable")
-        now = since
-        for now, good in zip(rows["at"].tolist(), rows["ok"].tolist()):
-            if opened and now < since + pause:
-                continue
-            if good:
-                opened, streak = False, 0
-                continue
-            streak, since = streak + 1, now
-            if streak >= max_failures:
-                opened, trips = True, trips + 1
-        state.update((bool(opened), int(streak), int(since), int(trips)))
-        label = "closed" if not opened else "half_open" if now >= since + pause else "open"
-        yield pd.DataFrame([(key[0], label, streak, trips, now)], columns=[c.split()[0] for c in _OUT.split(", ")])
-
-    timed = calls.select(
-        F.col(source).cast("string").alias("source"),
-        F.unix_micros(F.col(at).cast("timestamp")).alias("at"),
-        F.col(ok).alias("ok"),
-    )
-    updates = timed.groupBy("source").applyInPandasWithState(
-        follow, _OUT, _STATE, "update", GroupStateTimeout.NoTimeout
+
+    def follow(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        initial = None
+        if path_exists(spark, path):
+            initial = latest_states(spark.read.schema(_SCHEMA).parquet(path), number)
+        last = batch.agg(F.max(at).alias("last")).first()["last"]
+        if last is None:
+            return
+        states = breaker_states(
+            batch, F.lit(last).cast("timestamp_ntz"), at=at, order=order, max_failures=max_failures,
+            cooldown=cooldown, initial=initial,
+        )
+        (
+            states.withColumn("batch", F.lit(number).cast("bigint"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch")
+            .parquet(path)
+        )
+
+    return (
+        calls.writeStream.foreachBatch(follow)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
-    return updates.withColumn("last_call_at", F.timestamp_micros("last_call_at").cast("timestamp_ntz"))
+
+
+_SCHEMA = (
+    "source string, state string, failure_count bigint, trips bigint, last_failure_at timestamp_ntz, batch bigint"
+)

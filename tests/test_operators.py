@@ -277,3 +277,12 @@ def test_breaker_against_loop(frame, seed, limit, failing, gap):
     )
     want = [(a, b, c, d, e) for a, b, c, d, e in loop_breaker(calls, as_of, limit, cooldown)]
     assert rows(got) == sorted(want, key=repr)
+    # The same history in two halves, the second going on from the first.
+    order = dict(order=["n"], max_failures=limit, cooldown=cooldown, chunk_seconds=3)
+    half = len(calls) // 2
+    middle = F.lit(as_of - timedelta(minutes=5)).cast("timestamp_ntz")
+    ordered = df.orderBy("ts", "n").limit(half)
+    rest = df.join(ordered.select("n"), "n", "left_anti")
+    first = breaker.breaker_states(ordered, middle, **order)
+    second = breaker.breaker_states(rest, F.lit(as_of).cast("timestamp_ntz"), initial=first, **order)
+    assert rows(second) == sorted(want, key=repr)

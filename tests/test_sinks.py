@@ -70,6 +70,16 @@ def test_whole_table_upsert(spark, frame, tmp_path):
     assert rows(spark.read.parquet(path)) == [("color", "1", "vert", 2, "#0")]
 
 
+def test_materialize(spark, frame, tmp_path):
+    df = frame("k int, v string, extracted_at int", (1, "a", 1))
+    sinks.materialize(df, "m_view")
+    for text in ("a", "b"):
+        sinks.materialize(df.withColumn("v", F.lit(text)), "m_inc", "incremental", path=f"{tmp_path}/m", keys=["k"])
+    assert rows(spark.table("m_view")) == [(1, "a", 1)] and rows(spark.table("m_inc")) == [(1, "b", 1)]
+    with pytest.raises(ValueError):
+        sinks.materialize(df, "x", "cube")
+
+
 def test_documents(spark, frame, tmp_path):
     df = frame("n int, at string", (1, "2024-03-04T10:00"), (2, "bad"))
     sinks.write_documents(df, str(tmp_path), "retail", "books", "at", "2024-12-31")

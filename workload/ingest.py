@@ -564,3 +564,19 @@ def page_links(t: Tables) -> DataFrame:
     opened = F.replace("html", F.lit("<li>"), F.lit('<article class="product_pod"><h3>'))
     marked = F.replace(opened, F.lit("</li>"), F.lit("</h3></article>"))
     return pages.listing_links(t.pages.select("url", marked.alias("html")))
+
+
+@query(
+    rf"""WITH q AS (
+      SELECT doc_id, 0 AS position, {_STRIPPED} AS text, source AS author_name, lang || '-' || source AS author_slug FROM documents
+      UNION ALL SELECT doc_id, 1, 'Short ' || CAST(doc_id AS VARCHAR), 'Dr. ' || source || ' ' || upper(lang),
+             'Dr-' || source || '-' || upper(lang) FROM documents),
+    h AS (SELECT *, substr(sha256(text || '|' || author_name), 1, 16) AS quote_hash FROM q)
+    SELECT quote_hash, text, author_name, author_slug FROM h
+    QUALIFY row_number() OVER (PARTITION BY quote_hash ORDER BY doc_id, position) = 1"""
+)
+def landed_quotes(t: Tables) -> DataFrame:
+    """Quote pages to unique quotes."""
+    numbered = _quote_pages(t).withColumn("page_no", F.regexp_extract("url", "([0-9]+)$", 1).cast("bigint"))
+    landed = pages.land_quotes(numbered, F.lit("2024-01-07 05:00:00").cast("timestamp_ntz"))
+    return landed.select("quote_hash", "text", "author_name", "author_slug")

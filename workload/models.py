@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeweir.functions import surrogate_key
 from lakeweir.operators.snapshot import latest_snapshot
-from lakeweir.plans import incremental, marts, staging
+from lakeweir.plans import incremental, marts, refresh, staging
+from lakeweir.session import working_path
 from workload.registry import query
 from workload.tables import ALERTS, AUTHORS, BOOKS, DETAILS, MORE_AUTHORS, PROFILES, QUOTES, Tables
 
@@ -316,3 +319,25 @@ def surrogate_keys(t: Tables) -> DataFrame:
         surrogate_key(F.col("o_orderkey"), F.col("o_orderpriority"), F.col("o_orderdate")).alias("three"),
         surrogate_key(status, F.col("o_custkey")).alias("with_null"),
     )
+
+
+@query(
+    f"""WITH {FCT_ALERTS}, {DIM_COMMUNES}, {DIM_BOOKS}, {STG_QUOTES},
+    departments AS (
+      SELECT department_code FROM dim_communes
+      UNION SELECT department_code FROM fct_alerts WHERE extraction_date = (SELECT max(extraction_date) FROM fct_alerts))
+    SELECT 'rpt_risk_summary' AS report, count(*) AS row_count FROM departments
+    UNION ALL SELECT 'rpt_book_stats', count(DISTINCT category) FROM dim_books
+    UNION ALL SELECT 'rpt_quote_stats', count(*) FROM
+      (SELECT DISTINCT author_name, author_born_date, author_born_location FROM stg_quotes WHERE author_slug IS NOT NULL)"""
+)
+def refreshed_reports(t: Tables) -> DataFrame:
+    """The whole modelling run, from landing tables to gated reports on files."""
+    names = ("alerts", "commune_profiles", "risk_details", "books", "quotes", "authors")
+    base = working_path(t.spark, "refresh")
+    counts = refresh.refresh(t.spark, {n: getattr(t, n) for n in names}, base, "2024-02-01 00:00:00")
+    reports = [
+        t.spark.read.parquet(f"{base}/marts/{name}").agg(F.count("*").alias("row_count")).select(F.lit(name).alias("report"), "row_count")
+        for name in counts
+    ]
+    return reduce(DataFrame.unionByName, reports)

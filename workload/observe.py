@@ -6,12 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeweir import functions as X
-from lakeweir.operators import breaker, forecast, health, snapshot
+from lakeweir.operators import breaker, forecast, health
 from lakeweir.plans import marts, staging
 from lakeweir.session import working_path
 from lakeweir.sources import documents, sinks
 from lakeweir.sources.catalog import Catalog, Dataset
-from lakeweir.streaming import breaker_updates, dedup_stream, run_available, stream_files, upsert_stream
+from lakeweir.streaming import (
+    breaker_stream,
+    dedup_stream,
+    latest_states,
+    run_available,
+    stream_files,
+    upsert_stream,
+)
 from workload.models import FCT_ALERTS, STG_ALERTS
 from workload.registry import query
 from workload.tables import ALERTS, BOOKS, METRICS, Tables
@@ -214,25 +221,16 @@ def stream_dedup(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""WITH {BREAKER} SELECT source,
-    CASE WHEN NOT s.open THEN 'closed' WHEN s.us - s.since >= 300000000 THEN 'half_open' ELSE 'open' END AS state,
-    s.n AS failure_count, s.trips AS trips, make_timestamp(s.us) AS last_call_at FROM folded"""
+    f"""WITH {BREAKER} SELECT source, CASE WHEN NOT s.open THEN 'closed'
+      WHEN (SELECT max(epoch_us(ts)) FROM events) - s.since >= 300000000 THEN 'half_open' ELSE 'open' END AS state,
+    s.n AS failure_count, s.trips AS trips, make_timestamp(s.since) AS last_failure_at FROM folded"""
 )
 def stream_breaker(t: Tables) -> DataFrame:
-    stream = stream_files(t.spark, t.folder, t.events.schema, pattern="events.parquet")
     landed = Tables(t.spark, t.folder)
-    landed.__dict__["events"] = stream
-    states = working_path(t.spark, "stream-breaker")
-    writer = (
-        breaker_updates(_calls(landed))
-        .writeStream.outputMode("update")
-        .foreachBatch(lambda batch, n: batch.withColumn("batch", F.lit(n)).write.mode("append").parquet(states))
-        .option("checkpointLocation", working_path(t.spark, "stream-state"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    writer.awaitTermination()
-    return snapshot.keep_latest(t.spark.read.parquet(states), ["source"], ["batch"]).drop("batch")
+    landed.__dict__["events"] = stream_files(t.spark, t.folder, t.events.schema, pattern="events.parquet")
+    path = working_path(t.spark, "stream-breaker")
+    breaker_stream(_calls(landed), path, working_path(t.spark, "stream-state"), order=["event_id"]).awaitTermination()
+    return latest_states(t.spark.read.parquet(path))
 
 
 # Sources and sinks: written with the sink, read back with the source.
