@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeweir.functions import fixed_text, to_number
+from lakeweir.operators.rows import computed
 
 
 def detect_anomalies(df: DataFrame, columns: Sequence[str], threshold: float = 3.0) -> DataFrame:
@@ -29,14 +30,14 @@ def detect_anomalies(df: DataFrame, columns: Sequence[str], threshold: float = 3
             *[F.stddev_samp(usable[c]).alias(f"std_{i}") for i, c in enumerate(present)],
         ).alias("stats")
     ).scalar()
-    with_stats = df.withColumn("__stats", stats)
+    with_stats = computed(df, {"__stats": stats})
     reasons = []
     for i, c in enumerate(present):
         mean, std = F.col(f"__stats.mean_{i}"), F.col(f"__stats.std_{i}")
         z = F.when(std > 0, (usable[c] - mean) / std)
         text = F.concat(F.lit(f"{c} has outlier Z-score ("), fixed_text(z), F.lit(f" > {threshold})"))
         reasons.append(F.when(F.abs(z) > threshold, text))
-    listed = with_stats.withColumn("anomaly_reasons", F.array_compact(F.array(*reasons))).drop("__stats")
+    listed = computed(with_stats, {"anomaly_reasons": F.array_compact(F.array(*reasons))}).drop("__stats")
     return listed.withColumn("is_anomaly", F.size("anomaly_reasons") > 0)
 
 

@@ -296,8 +296,9 @@ def schema_drift(df: DataFrame, raw: str, contract: Contract) -> DataFrame:
     are a matter of validation.
     """
     expected = F.array(*[F.lit(n) for n in contract.names])
-    keys = F.json_object_keys(raw)
-    shapes = df.select(
+    keys = F.col("__keys")
+    opened = computed(df.select(raw), {"__keys": F.json_object_keys(raw)})
+    shapes = opened.select(
         F.array_sort(F.array_except(keys, expected)).alias("extra_fields"),
         F.array_sort(F.array_except(expected, keys)).alias("missing_fields"),
     ).where(F.size("extra_fields") > 0)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeweir.functions import digits_or_zero, epoch_millis, first_filled, severity, truncate
 from lakeweir.operators.enrich import DEFAULT_COLOR, UNKNOWN_PHENOMENON, UNKNOWN_PLACE, enrich
 from lakeweir.operators.rows import computed
-from lakeweir.sources.schemas import RISK_ENTRY, RISK_SECTION
+from lakeweir.sources.schemas import ALERT_DOCUMENT, RISK_ENTRY, RISK_SECTION
 
 NATURAL, TECHNOLOGICAL = "naturel", "technologique"
 
@@ -25,6 +25,12 @@ INDICATORS: Mapping[str, tuple[str, tuple[str, ...]]] = {
 }
 
 
+def open_alert_documents(documents: DataFrame, text: str = "document") -> DataFrame:
+    """JSON text column to ``timelaps``; other columns stay. Files are read with ALERT_DOCUMENT as schema."""
+    opened = computed(documents, {"__document": F.from_json(F.col(text), ALERT_DOCUMENT)})
+    return opened.select(*[c for c in documents.columns if c != text], F.col("__document.timelaps").alias("timelaps"))
+
+
 def alert_rows(
     documents: DataFrame, phenomena: DataFrame, colors: DataFrame, departments: DataFrame
 ) -> DataFrame:
@@ -71,9 +77,8 @@ def alert_rows(
 def split_reports(documents: DataFrame, text: str = "document") -> DataFrame:
     """An object keyed by commune code, as JSON text, to (insee_code, report text, other columns)."""
     others = [c for c in documents.columns if c != text]
-    return documents.select(
-        *others, F.explode(F.from_json(F.col(text), "map<string,string>")).alias("insee_code", "report")
-    )
+    opened = computed(documents, {"__reports": F.from_json(F.col(text), "map<string,string>")})
+    return opened.select(*others, F.explode("__reports").alias("insee_code", "report"))
 
 
 def _section(entries: Column, category: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.functions import hours_between, rounded_average, surrogate_key
+from lakeweir.functions import hours_between, rounded_average, rounded_decimal, surrogate_key
 from lakeweir.operators.snapshot import latest_snapshot
 
 
@@ -143,13 +143,13 @@ def rpt_quote_stats(authors: DataFrame, quotes: DataFrame, generated_at: Column
         F.min("quote_length").alias("shortest"),
         F.max("quote_length").alias("longest"),
     )
-    average = F.sum("total") / F.nullif(F.sum("measured"), F.lit(0))
+    average = rounded_decimal(F.sum("total") / F.nullif(F.sum("measured"), F.lit(0)), 1)
     report = (
         authors.join(per_key, "author_key", "left")
         .groupBy("author_name", "author_born_date", "author_born_location")
         .agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("quote_count"),
-            F.round(average.cast("decimal(18,3)"), 1).alias("avg_quote_length"),
+            average.alias("avg_quote_length"),
             F.min("shortest").alias("min_quote_length"),
             F.max("longest").alias("max_quote_length"),
         )
@@ -181,28 +181,53 @@ def department_alerts(alerts: DataFrame) -> DataFrame:
     )
 
 
-def department_risks(communes: DataFrame) -> DataFrame:
-    return communes.groupBy("department_code").agg(
+def place_risks(communes: DataFrame) -> DataFrame:
+    """Communes summed per department, department name and region."""
+
+    def sums(column: str) -> list[Column]:
+        return [F.sum(column).alias(f"sum_{column}"), F.count(column).alias(f"n_{column}")]
+
+    return communes.groupBy("department_code", "department_name", "region").agg(
         F.count("*").alias("commune_count"),
-        rounded_average(F.col("total_risks"), 1).alias("avg_risks_per_commune"),
         F.max("total_risks").alias("max_risks_in_dept"),
-        rounded_average(F.col("max_severity_naturels"), 1).alias("avg_severity_naturels"),
-        rounded_average(F.col("max_severity_technologiques"), 1).alias("avg_severity_technologiques"),
-        *[
-            F.count_if(f"{risk}_present").alias(f"communes_with_{risk}")
-            for risk in ("seisme", "inondation", "radon", "icpe", "nucleaire")
-        ],
+        *[c for column in _AVERAGED for c in sums(column)],
+        *[F.count_if(f"{risk}_present").alias(f"communes_with_{risk}") for risk in _COUNTED],
+    )
+
+
+_AVERAGED = {
+    "total_risks": "avg_risks_per_commune",
+    "max_severity_naturels": "avg_severity_naturels",
+    "max_severity_technologiques": "avg_severity_technologiques",
+}
+_COUNTED = ("seisme", "inondation", "radon", "icpe", "nucleaire")
+
+
+def department_risks(places: DataFrame) -> DataFrame:
+    """Departments from ``place_risks``: counts, greatest and average risks."""
+
+    def average(column: str) -> Column:
+        return F.sum(f"sum_{column}") / F.nullif(F.sum(f"n_{column}"), F.lit(0))
+
+    return places.groupBy("department_code").agg(
+        F.sum("commune_count").alias("commune_count"),
+        F.max("max_risks_in_dept").alias("max_risks_in_dept"),
+        *[rounded_decimal(average(column), 1).alias(name) for column, name in _AVERAGED.items()],
+        *[F.sum(f"communes_with_{risk}").alias(f"communes_with_{risk}") for risk in _COUNTED],
     )
 
 
 def rpt_risk_summary(
     alerts: DataFrame, communes: DataFrame, generated_at: Column | None = None, *, ordered: bool = True
 ) -> DataFrame:
-    """Departments with their structural risks and current alerts, either side may be missing."""
-    risks, warnings = department_risks(communes).alias("r"), department_alerts(alerts).alias("a")
-    places = (
-        communes.select("department_code", "department_name", "region").distinct().alias("c")
-    )
+    """Departments with their structural risks and current alerts, either side may be missing.
+
+    Figures and names of departments both come from one sum per place, so the communes are read
+    and shuffled once.
+    """
+    per_place = place_risks(communes)
+    risks, warnings = department_risks(per_place).alias("r"), department_alerts(alerts).alias("a")
+    places = per_place.select("department_code", "department_name", "region").alias("c")
     both = risks.join(warnings, F.col("r.department_code") == F.col("a.department_code"), "full").withColumn(
         "code", F.coalesce("r.department_code", "a.department_code")
     )

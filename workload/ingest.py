@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from lakeweir import functions as X
 from lakeweir.operators import enrich, normalize, pages, snapshot
 from lakeweir.operators.upsert import upsert
-from lakeweir.sources.schemas import ALERT_DOCUMENT
 from workload.registry import query
 from workload.tables import ALERTS, PROFILES, QUOTES, Tables, spread
 
@@ -88,11 +87,8 @@ def _alert_documents(t: Tables) -> DataFrame:
     LEFT JOIN region ON color = r_regionkey AND r_regionkey BETWEEN 1 AND 3"""
 )
 def alert_explode(t: Tables) -> DataFrame:
-    documents = _alert_documents(t).select(
-        F.from_json("document", ALERT_DOCUMENT).alias("d"),
-        F.col("extraction_date").cast("timestamp_ntz").alias("extracted_at"),
-        "extraction_date",
-    ).select("d.timelaps", "extracted_at", "extraction_date")
+    stamped = _alert_documents(t).withColumn("extracted_at", F.col("extraction_date").cast("timestamp_ntz"))
+    documents = normalize.open_alert_documents(stamped)
     return normalize.alert_rows(documents, _phenomena(t), _colors(t), _departments(t))
 
 
