@@ -229,11 +229,8 @@ def validate_json(df: DataFrame, raw: str, contract: Contract) -> DataFrame:
     )
 
 
-def validate_columns(df: DataFrame, contract: Contract) -> DataFrame:
-    """Contract rules on a frame that is typed already; other columns go to ``metadata_json``.
-
-    A column the frame lacks breaks every record, as a missing field would.
-    """
+def _column_rules(df: DataFrame, contract: Contract) -> tuple[list[Column], list[Column]]:
+    """(values in contract types, rule texts) of a typed frame."""
     have = {c: df.schema[c].dataType.simpleString() for c in df.columns}
     errors, values = [], []
     for f in contract.fields:
@@ -248,6 +245,21 @@ def validate_columns(df: DataFrame, contract: Contract) -> DataFrame:
         errors.append(F.when(bad | (raw.isNotNull() & value.isNull()), F.lit(f"{f.name}:type")))
         errors += _limit_errors(f, value)
         values.append(value.alias(f.name))
+    return values, errors
+
+
+def mark_errors(df: DataFrame, contract: Contract) -> DataFrame:
+    """A typed frame as it is, with the list of broken contract rules in ``errors``."""
+    _, errors = _column_rules(df, contract)
+    return computed(df, {"errors": F.array_compact(F.array(*errors))})
+
+
+def validate_columns(df: DataFrame, contract: Contract) -> DataFrame:
+    """Contract rules on a frame that is typed already; other columns go to ``metadata_json``.
+
+    A column the frame lacks breaks every record, as a missing field would.
+    """
+    values, errors = _column_rules(df, contract)
     extra = [c for c in df.columns if c not in (*contract.names, EXTRAS)]
     metadata = F.to_json(F.struct(*extra)) if extra else F.lit(None).cast("string")
     return df.select(*values, metadata.alias(EXTRAS), F.array_compact(F.array(*errors)).alias("errors"))

@@ -56,7 +56,7 @@ def upsert(
     fresh = (
         batch.where(_complete(keys))
         .groupBy(*keys)
-        .agg(F.max(F.struct(F.lit(True).alias("present"), *ranked)).alias("new"))
+        .agg(F.max(F.struct(F.lit(True).alias("__there"), *ranked)).alias("new"))
     )
     old = target.where(_complete(keys)).select(
         *keys, F.lit(True).alias("has_old"), *[F.col(c).alias(f"old_{c}") for c in rest]

@@ -9,6 +9,8 @@ from lakeweir.sources.sinks import (
     replace_partitions,
     replace_snapshot,
     split_quarantine,
+    staged,
+    upsert_landing,
     upsert_table,
     write_documents,
     write_report_jdbc,
@@ -26,6 +28,8 @@ __all__ = [
     "replace_partitions",
     "replace_snapshot",
     "split_quarantine",
+    "staged",
+    "upsert_landing",
     "upsert_table",
     "write_documents",
     "write_report_jdbc",

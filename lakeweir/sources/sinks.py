@@ -12,6 +12,7 @@ from lakeweir.functions.times import date_parts
 from lakeweir.operators.upsert import upsert
 from lakeweir.session import working_path
 from lakeweir.sources.documents import path_exists
+from lakeweir.sources.schemas import LANDING
 
 
 def _rename(spark: SparkSession, old: str, new: str) -> None:
@@ -102,6 +103,23 @@ def upsert_table(
     _drop(spark, staged)
 
 
+def upsert_landing(batch: DataFrame, base: str, name: str, *, strict: bool = False) -> None:
+    """Upsert into the landing table ``name`` below ``base`` by its own key and updated columns."""
+    table = LANDING[name]
+    dated = "extraction_date" if "extraction_date" in table.key else None
+    upsert_table(
+        batch.select(*table.columns), f"{base}/{name}", table.schema, table.key, table.updated_columns(),
+        partition_by=dated, strict=strict,
+    )
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for rows that several outputs need."""
+    path = working_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_documents(
     df: DataFrame, base: str, domain: str, source: str, date_text: Column | str, run_date: Column | str
 ) -> None:
