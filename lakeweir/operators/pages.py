@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -75,12 +75,14 @@ def _pick_listing(page: Element) -> list[tuple]:
     return links
 
 
-def listing_links(pages: DataFrame, site: str = BOOKS_SITE, *, errors: bool = False) -> DataFrame:
-    """(page_url, position, url, title) of every product on listing pages (url, html)."""
+def listing_links(
+    pages: DataFrame, site: str = BOOKS_SITE, *, carry: Sequence[str] = (), errors: bool = False
+) -> DataFrame:
+    """(page_url, position, url, title) of every product on listing pages (url, html), and ``carry`` columns."""
     marked = pages.where(F.col("html").contains("product_pod"))
-    rows = _extract(marked, _pick_listing, "href string, title string", ["url"])
+    rows = _extract(marked, _pick_listing, "href string, title string", ["url", *carry])
     links = rows.withColumnRenamed("url", "page_url").withColumn("url", absolute_url(F.col("href"), site))
-    kept = ["page_url", "position", "url", "title", "parse_error"]
+    kept = ["page_url", "position", "url", "title", *carry, "parse_error"]
     return _settle(links.select(*kept), errors)
 
 
@@ -162,10 +164,15 @@ def _pick_quotes(page: Element) -> list[tuple]:
     return quotes
 
 
-def quote_records(pages: DataFrame, extracted_at: Column, *, errors: bool = False) -> DataFrame:
-    """Every quote of quote pages (url, html), with its hash; the slug comes from the author link, else the name."""
+def quote_records(
+    pages: DataFrame, extracted_at: Column, *, carry: Sequence[str] = (), errors: bool = False
+) -> DataFrame:
+    """Every quote of quote pages (url, html), with its hash, and ``carry`` columns.
+
+    The slug comes from the author link, else from the name.
+    """
     marked = pages.where(F.col("html").contains("quote"))
-    rows = _extract(marked, _pick_quotes, "raw string, author_name string, href string, tags string", ["url"])
+    rows = _extract(marked, _pick_quotes, "raw string, author_name string, href string, tags string", ["url", *carry])
     text = strip_curly_quotes(F.col("raw"))
     from_name = F.nullif(slug_from_name(F.col("author_name")), F.lit(""))
     records = rows.select(
@@ -178,6 +185,7 @@ def quote_records(pages: DataFrame, extracted_at: Column, *, errors: bool = Fals
         "tags",
         extracted_at.alias("extracted_at"),
         extracted_at.cast("date").alias("extraction_date"),
+        *carry,
         "parse_error",
     )
     return _settle(records, errors)
@@ -216,10 +224,8 @@ def land_books(listings: DataFrame, details: DataFrame, extracted_at: Column) ->
 
     ``listings`` has a page number ``page_no``; listing order decides which record is first.
     """
-    numbered = listings.select("page_no", F.col("url").alias("page_url"))
-    links = keep_first(
-        listing_links(listings).join(numbered, "page_url"), ["url"], ["page_no", "position"]
-    ).select("url", "page_no", "position")
+    found = listing_links(listings, carry=["page_no"])
+    links = keep_first(found, ["url"], ["page_no", "position"]).select("url", "page_no", "position")
     records = book_records(details, extracted_at)
     ordered = records.join(links, F.col("product_url") == F.col("url")).drop("url")
     return keep_first(ordered, ["upc"], ["page_no", "position"]).drop("page_no", "position")
@@ -227,6 +233,5 @@ def land_books(listings: DataFrame, details: DataFrame, extracted_at: Column) ->
 
 def land_quotes(pages: DataFrame, extracted_at: Column) -> DataFrame:
     """Quote pages with a page number ``page_no`` to unique quotes, the first by page and position."""
-    numbered = pages.select("page_no", F.col("url").alias("page_url"))
-    rows = quote_records(pages, extracted_at).join(numbered, "page_url")
+    rows = quote_records(pages, extracted_at, carry=["page_no"])
     return keep_first(rows, ["quote_hash"], ["page_no", "position"]).drop("page_no", "position", "page_url")
