@@ -18,7 +18,6 @@ SIMILARITY = 75  # per cent of the union
 COORDINATES = 64
 MATCHES = 32  # equal coordinates of a candidate pair; 48 are expected at the least similarity
 PREFIX = COORDINATES - MATCHES + 1  # two rows with MATCHES equal ones share one among so many
-CELL = 1024  # rows of a large posting list that are compared with each other at once
 
 _dice = np.random.default_rng(42)
 FACTORS = _dice.integers(1, 1 << 63, COORDINATES, dtype=np.int64).astype(U) * U(2) + U(1)
@@ -77,12 +76,14 @@ def described(docs: DataFrame) -> DataFrame:
 
 
 def prefix_postings(nodes: DataFrame) -> DataFrame:
-    """node, n, token for the rarest coordinate values of each node that others share.
+    """node, n, weight, token for the rarest coordinate values of each node that others share.
 
     A token is a coordinate with its value. In the order of frequency, a node's PREFIX rarest tokens
     are enough to meet every node with MATCHES equal ones. Values that nobody shares come first in
     that order and use up the prefix, so most nodes post nothing, and a passage shared by very many
     texts, whose values are the most frequent, is posted only where it makes up most of a text.
+    ``weight`` sums the frequencies of all tokens: the node of a group that has most in common with the
+    others has the largest one.
     """
     posted = nodes.select("node", "n", F.posexplode("signature").alias("place", "value")).select(
         "node", "n",
@@ -91,11 +92,12 @@ def prefix_postings(nodes: DataFrame) -> DataFrame:
     )
     shared = posted.groupBy("token").agg(F.count("*").alias("times")).where("times > 1")
     ordered = posted.join(shared, "token").groupBy("node").agg(
-        F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("times", "token"))).alias("tokens")
+        F.first("n").alias("n"), F.sum("times").alias("weight"),
+        F.sort_array(F.collect_list(F.struct("times", "token"))).alias("tokens"),
     )
     spare = F.greatest(F.lit(0), F.lit(PREFIX - COORDINATES) + F.size("tokens"))
     kept = ordered.withColumn("tokens", F.slice("tokens", F.lit(1), spare))
-    return kept.select("node", "n", F.explode("tokens.token").alias("token"))
+    return kept.select("node", "n", "weight", F.explode("tokens.token").alias("token"))
 
 
 def similar_sizes(a: str, b: str):
@@ -111,11 +113,10 @@ def matching(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(equal >= MATCHES).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The candidate pairs whose full shingle sets are similar enough; sets are made again from the texts."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.join(needed, "node").select("node", "key", "rep")
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("rep")).select("node", "key", "text")
+def sets_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node and its full shingle set for the ``wanted`` nodes, made again from the texts and written out."""
+    named = nodes.join(wanted.select("node").distinct(), "node").select("node", "key", "rep")
+    texts = docs.select("doc_id", "text").join(named, F.col("doc_id") == F.col("rep")).select("node", "key", "text")
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -125,7 +126,11 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
                 "node": batch["node"][own], "shingles": [s.tobytes() for s, mine in zip(found, own) if mine],
             })
 
-    sets = staged(texts.mapInPandas(make, "node long, shingles binary").dropDuplicates(["node"]), "near-sets")
+    return staged(texts.mapInPandas(make, "node long, shingles binary").dropDuplicates(["node"]), "near-sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The candidate pairs whose full shingle sets are similar enough."""
 
     @F.pandas_udf("boolean")
     def linked(first: pd.Series, second: pd.Series) -> pd.Series:
@@ -170,69 +175,60 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def leader_pairs(postings: DataFrame) -> DataFrame:
-    """Each node with the smallest node of each of its posting lists."""
-    leaders = postings.groupBy("token").agg(F.min(F.struct("node", "n")).alias("first"))
+    """Each node with the leader of each of its posting lists: the node of the largest weight."""
+    leaders = postings.groupBy("token").agg(F.max(F.struct("weight", "node", "n")).alias("first"))
     met = postings.join(leaders, "token").where("node != first.node")
     met = met.select(F.col("first.node").alias("a"), F.col("first.n").alias("n_a"), F.col("node").alias("b"), "n")
     return met.where(similar_sizes("n_a", "n")).select("a", "b").distinct()
 
 
-def other_pairs(postings: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs that share a posting list, except with its first node, and are not connected yet.
-
-    Lists whose nodes are all connected fall away. Lists of up to CELL rows are joined; longer ones
-    are dealt into cells of about that size, and every two cells are compared by signature in a
-    task of their own, which returns only the pairs with enough matches.
-    """
-    first = postings.groupBy("token").agg(F.min("node").alias("first"))
-    rest = postings.join(first, "token").where("node != first").join(labels, "node", "left")
+def open_nodes(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """node, n, label of the nodes in posting lists that, without their leader, are not all connected."""
+    leaders = postings.groupBy("token").agg(F.max(F.struct("weight", "node", "n")).alias("first"))
+    rest = postings.join(leaders, "token").where("node != first.node").join(labels, "node", "left")
     rest = rest.select("token", "node", "n", F.coalesce("label", "node").alias("label"))
-    open_lists = (
-        rest.groupBy("token")
-        .agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low < high").select("token", "size")
-    )
-    rest = staged(rest.join(open_lists, "token"), "near-open")
-    small = rest.where(F.col("size") <= CELL)
-    pairs = small.alias("x").join(small.alias("y"), "token").where(
-        "x.node < y.node and x.label != y.label"
-    ).where(similar_sizes("x.n", "y.n")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    large = rest.where(F.col("size") > CELL)
-    if large.isEmpty():
-        return pairs
-    parts = F.ceil(F.col("size") / CELL).cast("int")
-    cells = (
-        large.withColumn("mine", F.pmod(F.xxhash64("node"), parts).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .withColumn("low", F.least("mine", "other")).withColumn("high", F.greatest("mine", "other"))
-        .join(nodes.select("node", "signature"), "node")
-        .select("token", "low", "high", "mine", "node", "n", "label", "signature")
-    )
+    several = rest.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return rest.join(several, "token").select("node", "n", "label").distinct()
 
-    def compare(cell: pd.DataFrame) -> pd.DataFrame:
-        low, high = int(cell["low"].iloc[0]), int(cell["high"].iloc[0])
-        one, two = cell[cell["mine"] == low], cell[cell["mine"] == high]
-        out = []
-        if len(one) and len(two):
-            signs = np.stack(two["signature"].to_numpy())
-            node, n, label = (two[c].to_numpy() for c in ("node", "n", "label"))
-            for row in one.itertuples():
-                near = (100 * np.minimum(n, row.n) >= SIMILARITY * np.maximum(n, row.n)) & (label != row.label)
-                near &= node != row.node if low != high else node > row.node
-                near[near] = (signs[near] == np.asarray(row.signature)).sum(axis=1) >= MATCHES
-                out += [(min(row.node, x), max(row.node, x)) for x in node[near].tolist()]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    far = cells.groupBy("token", "low", "high").applyInPandas(compare, "a long, b long")
-    return pairs.unionAll(far).distinct()
+def shingle_pairs(found: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of nodes, not connected yet, that share one of their rarest shingles.
+
+    With shingles in the order of their frequency among these nodes, two sets that are similar
+    enough share one among the first n - least intersection + 1 of each. A text with many shingles of
+    its own has used up its part before it comes to shared ones; it meets nobody, however many
+    texts share its other passages.
+    """
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for node, data in zip(batch["node"], batch["shingles"]):
+                yield pd.DataFrame({"node": node, "shingle": np.frombuffer(data, np.int64)})
+
+    every = staged(sets.mapInPandas(spread, "node long, shingle long"), "near-shingles")
+    shared = every.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
+    ordered = every.join(shared, "shingle").groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("tokens")
+    ).join(found, "node")
+    least = F.ceil(F.col("n") * SIMILARITY / 100).cast("int")
+    spare = F.greatest(F.lit(0), F.size("tokens") - least + 1)
+    kept = ordered.withColumn("tokens", F.slice("tokens", F.lit(1), spare))
+    first = kept.select("node", "n", "label", F.explode("tokens.shingle").alias("shingle"))
+    several = first.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    first = staged(first.join(several, "shingle").select("shingle", "node", "n", "label"), "near-prefixes")
+    pairs = first.alias("x").join(first.alias("y"), "shingle").where("x.node < y.node and x.label != y.label")
+    return pairs.where(similar_sizes("x.n", "y.n")).select(
+        F.col("x.node").alias("a"), F.col("y.node").alias("b")
+    ).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Rows with equal sets are one node. Nodes that share prefix tokens are first compared with the
-    first node of each list, which joins groups of copies of any size with a number of pairs in
-    proportion to their rows; only pairs still unconnected are compared after that. A pair counts
+    leader of each list, which joins groups of copies of any size with a number of pairs in
+    proportion to their rows. Lists that are still not connected go on: of their nodes, those that
+    also share a rare shingle are compared, unless they are connected already. A pair counts
     when at least MATCHES coordinates are equal and the full sets are similar enough. At the least
     similarity a pair has too few equal coordinates once in about 200,000 times, more similar ones
     far more rarely.
@@ -248,10 +244,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = staged(sets.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     postings = staged(prefix_postings(nodes), "near-postings")
     near = staged(matching(leader_pairs(postings), nodes), "near-pairs")
-    links = staged(confirmed(near, nodes, docs), "near-linked")
-    more = staged(matching(other_pairs(postings, components(links), nodes), nodes), "near-pairs")
-    if not more.isEmpty():
-        links = staged(links.unionAll(confirmed(more, nodes, docs)), "near-linked")
+    ends = near.select(F.explode(F.array("a", "b")).alias("node"))
+    links = staged(confirmed(near, sets_of(ends, nodes, docs)), "near-linked")
+    found = staged(open_nodes(postings, components(links)), "near-open")
+    if not found.isEmpty():
+        sets = sets_of(found, nodes, docs)
+        more = staged(matching(shingle_pairs(found, sets), nodes), "near-pairs")
+        links = staged(links.unionAll(confirmed(more, sets)), "near-linked")
     # Equal ids with different sets belong together as well.
     shared = nodes.groupBy("rep").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("a", "b")
     labels = components(links.unionAll(shared))
