@@ -197,7 +197,8 @@ def shingle_pairs(found: DataFrame, sets: DataFrame) -> DataFrame:
     With shingles in the order of their frequency among these nodes, two sets that are similar
     enough share one among the first n - least intersection + 1 of each. A text with many shingles of
     its own has used up its part before it comes to shared ones; it meets nobody, however many
-    texts share its other passages.
+    texts share its other passages. Where two sets first agree, what follows in both has to be
+    enough for the intersection that their sizes ask for.
     """
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -212,12 +213,16 @@ def shingle_pairs(found: DataFrame, sets: DataFrame) -> DataFrame:
     ).join(found, "node")
     least = F.ceil(F.col("n") * SIMILARITY / 100).cast("int")
     spare = F.greatest(F.lit(0), F.size("tokens") - least + 1)
-    kept = ordered.withColumn("tokens", F.slice("tokens", F.lit(1), spare))
-    first = kept.select("node", "n", "label", F.explode("tokens.shingle").alias("shingle"))
+    kept = ordered.withColumn("own", F.col("n") - F.size("tokens")).withColumn(
+        "tokens", F.slice("tokens", F.lit(1), spare)
+    )
+    first = kept.select("node", "n", "label", "own", F.posexplode("tokens.shingle").alias("place", "shingle"))
+    first = first.withColumn("after", F.col("n") - F.col("own") - F.col("place"))
     several = first.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    first = staged(first.join(several, "shingle").select("shingle", "node", "n", "label"), "near-prefixes")
+    first = staged(first.join(several, "shingle").select("shingle", "node", "n", "label", "after"), "near-prefixes")
     pairs = first.alias("x").join(first.alias("y"), "shingle").where("x.node < y.node and x.label != y.label")
-    return pairs.where(similar_sizes("x.n", "y.n")).select(
+    enough = F.least("x.after", "y.after") * (100 + SIMILARITY) >= (F.col("x.n") + F.col("y.n")) * SIMILARITY
+    return pairs.where(enough).select(
         F.col("x.node").alias("a"), F.col("y.node").alias("b")
     ).distinct()
 
