@@ -18,7 +18,7 @@ THRESHOLD = 0.7
 BUCKET_BITS = 22
 PART = 4  # octets of the inner runs of a word that count as terms too
 RANK = 6
-PER_CLASS = 5000  # bound of the training sample: rows of each class
+PER_CLASS = 3000  # bound of the training sample: rows of each class
 EVIDENCE = 24.0  # least likelihood-ratio statistic of a bucket that gets weights
 
 
