@@ -19,7 +19,9 @@ STATE = {
 }
 BYTES_PER_BATCH = 64 << 30
 
-TEXT = F.coalesce(F.col("text"), F.lit(""))
+
+def whole_text() -> Column:
+    return F.coalesce(F.col("text"), F.lit(""))
 
 
 def sha256(text: Column) -> Column:
@@ -53,7 +55,7 @@ def digest_classes(spark: SparkSession, path: str, digest=sha256, checkpoint: st
     # As a pattern that matches just this name, the source takes one file as well as a folder of files.
     rows = session.readStream.schema(schema).options(**options).parquet(f"{path[:-1]}[{path[-1]}]")
     seen = rows.select(
-        digest(TEXT).alias("digest"),
+        digest(whole_text()).alias("digest"),
         F.struct(
             F.col("doc_id"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
         ).alias("stays"),
@@ -97,8 +99,8 @@ def deduplicate(spark: SparkSession, path: str, digest=sha256, checkpoint: str |
     classes = digest_classes(spark, path, digest, checkpoint, **reader)
     rows = docs.select(
         "doc_id",
-        TEXT.alias("text"),
-        digest(TEXT).alias("digest"),
+        whole_text().alias("text"),
+        digest(whole_text()).alias("digest"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("row"),
     )

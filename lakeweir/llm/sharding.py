@@ -18,8 +18,13 @@ PARTITION_ROWS = 50_000  # rows that are permuted together, as long as that need
 MOST_PARTITIONS = 4096  # this: the matrix has so many rows at most
 SLOT_BITS = 12  # leading bits of the second permutation's key: buckets of a shard
 
-SIZE = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
-CRC = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long")
+
+def size() -> Column:
+    return (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
+
+
+def checksum() -> Column:
+    return F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long")
 
 
 def hypergeometric(dice: random.Random, good: int, bad: int, drawn: int) -> int:
@@ -120,7 +125,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> Da
     counts differ by at most one. A null text has size 1 and crc 0; null ids are hashed as null;
     repeated rows are placed like any others; an empty table gives an empty result.
     """
-    narrow = staged(docs.select("doc_id", SIZE.alias("__size"), CRC.alias("__crc")), "shard-rows")
+    narrow = staged(docs.select("doc_id", size().alias("__size"), checksum().alias("__crc")), "shard-rows")
     return shuffle_rows(narrow, shards, seed).select(
         "doc_id",
         F.col("__size").alias("size"),
@@ -135,6 +140,6 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> Da
 def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """The rows of ``docs``, all columns, with shard and slot (in place of columns of these names)."""
     own = [c for c in docs.columns if not c.startswith("__") and c not in ("shard", "slot")]
-    rows = docs.select(*own, SIZE.alias("__size"), CRC.alias("__crc"))
+    rows = docs.select(*own, size().alias("__size"), checksum().alias("__crc"))
     placed = shuffle_rows(rows, shards, seed)
     return placed.select(*own, F.col("__shard").alias("shard"), F.col("__slot").alias("slot"))
