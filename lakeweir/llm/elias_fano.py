@@ -90,8 +90,8 @@ class EliasFano:
         """
         if not self.n:
             return last.copy()
-        high = (values >> U(self.bits)).astype(np.int64)
         top = int(self.shape[2])
+        high = np.minimum(values >> U(self.bits), U(top + 1)).astype(np.int64)
         begin = np.where(high > 0, self.ends(np.maximum(high, 1) - 1), 0)
         end = self.ends(high)
         begin[high > top], end[high > top] = self.n, self.n

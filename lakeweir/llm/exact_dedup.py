@@ -51,7 +51,7 @@ def digest_classes(spark: SparkSession, path: str, digest=sha256, checkpoint: st
     session = _stream_session(spark)
     base = checkpoint or working_path(spark, "exact-dedup")
     schema = spark.read.parquet(path).select("doc_id", "text").schema
-    options = {"maxBytesPerTrigger": BYTES_PER_BATCH, **reader}
+    options = reader or {"maxBytesPerTrigger": BYTES_PER_BATCH}
     # As a pattern that matches just this name, the source takes one file as well as a folder of files.
     rows = session.readStream.schema(schema).options(**options).parquet(f"{path[:-1]}[{path[-1]}]")
     seen = rows.select(
