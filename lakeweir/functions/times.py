@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# 0001-01-01T00:00:00.000 and 9999-12-31T23:59:59.999.
+FIRST_MILLI, LAST_MILLI = -62135596800000, 253402300799999
+
 
 def _micros(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
@@ -24,8 +27,11 @@ def age_in_days(as_of: Column, then: Column) -> Column:
 
 
 def epoch_millis(c: Column) -> Column:
-    """UTC timestamp of epoch milliseconds given as text, NULL where the text is no integer."""
-    return F.timestamp_millis(c.try_cast("bigint")).cast("timestamp_ntz")
+    """UTC timestamp of epoch milliseconds given as text, NULL where the text is no integer or the
+    time lies outside the years 1 to 9999."""
+    number = c.try_cast("bigint")
+    readable = number.between(FIRST_MILLI, LAST_MILLI)
+    return F.timestamp_millis(F.when(readable, number)).cast("timestamp_ntz")
 
 
 def date_parts(iso: Column, fallback: Column) -> dict[str, Column]:

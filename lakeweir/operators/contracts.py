@@ -172,13 +172,15 @@ def _coerced(f: Field, kind: Column, text: Column) -> Column:
 
 
 def _limit_errors(f: Field, value: Column) -> list[Column]:
+    # NaN fulfils no limit, though it is ordered above all numbers here.
+    nan = F.isnan(value) if f.kind == "float" else F.lit(False)
     checks = []
     if f.min_length is not None:
         checks.append((F.length(value) < f.min_length, "min_length"))
     if f.ge is not None:
-        checks.append((~(value >= f.ge), "ge"))
+        checks.append((~(value >= f.ge) | nan, "ge"))
     if f.le is not None:
-        checks.append((~(value <= f.le), "le"))
+        checks.append((~(value <= f.le) | nan, "le"))
     return [F.when(broken, F.lit(f"{f.name}:{rule}")) for broken, rule in checks]
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -119,10 +119,19 @@ def _pick_book(page: Element) -> list[tuple]:
     ]
 
 
-def book_records(pages: DataFrame, extracted_at: Column, site: str = BOOKS_SITE, *, errors: bool = False) -> DataFrame:
+def shortened(name: str, value: Column, cut: Mapping[str, int] | None) -> Column:
+    """``value`` under ``name``, cut where the caller asks for it."""
+    return (truncate(value, cut[name]) if cut and name in cut else value).alias(name)
+
+
+def book_records(
+    pages: DataFrame, extracted_at: Column, site: str = BOOKS_SITE, *, errors: bool = False,
+    cut: Mapping[str, int] | None = None,
+) -> DataFrame:
     """One book per detail page (url, html); pages without UPC give none.
 
     A price such as ``1.2.3`` makes the page unreadable: it gives no record, only an error.
+    ``cut`` names columns with the length to cut them at; without it texts stay whole.
     """
     marked = pages.where(F.col("html").contains("table-striped"))
     raw = "upc string, title string, excl string, incl string, tax_text string, stock string, word string, " \
@@ -134,13 +143,13 @@ def book_records(pages: DataFrame, extracted_at: Column, site: str = BOOKS_SITE,
         unreadable = unreadable | ((text != "") & text.try_cast("double").isNull())
     records = rows.select(
         "upc",
-        truncate(F.col("title"), 500).alias("title"),
+        shortened("title", F.col("title"), cut),
         *[first_number(F.col(c)).alias(name) for name, c in [("price", "excl"), ("price_incl_tax", "incl"), ("tax", "tax_text")]],
-        truncate(F.col("stock"), 50).alias("availability"),
+        shortened("availability", F.col("stock"), cut),
         captured_int(F.col("stock"), r"\((\d+) available\)").alias("stock_count"),
         word_rating(F.col("word")).alias("star_rating"),
         "category",
-        truncate(F.col("description"), 2000).alias("description"),
+        shortened("description", F.col("description"), cut),
         F.concat(F.lit(f"{site}/"), strip_parent_steps(F.col("src"))).alias("image_url"),
         F.col("url").alias("product_url"),
         extracted_at.alias("extracted_at"),
@@ -202,16 +211,18 @@ def _pick_author(page: Element) -> list[tuple]:
     ]
 
 
-def author_records(pages: DataFrame, extracted_at: Column, *, errors: bool = False) -> DataFrame:
-    """One author per page (slug, html)."""
+def author_records(
+    pages: DataFrame, extracted_at: Column, *, errors: bool = False, cut: Mapping[str, int] | None = None
+) -> DataFrame:
+    """One author per page (slug, html). ``cut`` names columns with the length to cut them at."""
     rows = _extract(pages, _pick_author, "title string, born_date string, place string, about string", ["slug"])
-    place = truncate(cut_lead_in(F.col("place")), 500)
+    place = cut_lead_in(F.col("place"))
     records = rows.select(
         "slug",
-        truncate(F.coalesce("title", "slug"), 200).alias("name"),
+        shortened("name", F.coalesce("title", "slug"), cut),
         "born_date",
-        first_filled(place, F.lit("")).alias("born_location"),
-        truncate(F.col("about"), 2000).alias("description"),
+        shortened("born_location", first_filled(place, F.lit("")), cut),
+        shortened("description", F.col("about"), cut),
         extracted_at.alias("extracted_at"),
         extracted_at.cast("date").alias("extraction_date"),
         "parse_error",
@@ -232,6 +243,9 @@ def land_books(listings: DataFrame, details: DataFrame, extracted_at: Column) ->
 
 
 def land_quotes(pages: DataFrame, extracted_at: Column) -> DataFrame:
-    """Quote pages with a page number ``page_no`` to unique quotes, the first by page and position."""
+    """Quote pages with a page number ``page_no`` to unique quotes, the first by page and position.
+
+    Quotes are told apart by text and author; the short hash alone would join some in very large sets.
+    """
     rows = quote_records(pages, extracted_at, carry=["page_no"])
-    return keep_first(rows, ["quote_hash"], ["page_no", "position"]).drop("page_no", "position", "page_url")
+    return keep_first(rows, ["quote_hash", "text", "author_name"], ["page_no", "position"]).drop("page_no", "position", "page_url")

@@ -16,13 +16,14 @@ from lakeweir.sources.sinks import replace_partitions, replace_snapshot
 DATED = ("stg_alerts", "stg_commune_profiles", "stg_risk_details")
 
 
-def build_staging(landing: Catalog | Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def build_staging(landing: Catalog | Mapping[str, DataFrame], *, latest_only: bool = False) -> dict[str, DataFrame]:
+    """The staging views; ``latest_only`` keeps the newest extraction of books and quotes."""
     return {
         "stg_alerts": staging.stg_alerts(landing["alerts"]),
         "stg_commune_profiles": staging.stg_commune_profiles(landing["commune_profiles"]),
         "stg_risk_details": staging.stg_risk_details(landing["risk_details"]),
-        "stg_books": staging.stg_books(landing["books"]),
-        "stg_quotes": staging.stg_quotes(landing["quotes"], landing["authors"]),
+        "stg_books": staging.stg_books(landing["books"], latest_only=latest_only),
+        "stg_quotes": staging.stg_quotes(landing["quotes"], landing["authors"], latest_only=latest_only),
     }
 
 
@@ -50,13 +51,15 @@ def refresh(
     *,
     max_age_days: int = 2,
     lookback_days: int = 0,
+    latest_only: bool = False,
 ) -> dict[str, int]:
     """Run staging, marts and reports below ``base``; returns row counts per report or raises.
 
+    ``latest_only`` models the newest extraction of books and quotes instead of all of them.
     ``as_of`` is the run's timestamp; it stamps the reports, so a rerun gives the same files.
     Dimensions that several marts read are written once and read back.
     """
-    views = export_staging(spark, build_staging(landing), f"{base}/landing")
+    views = export_staging(spark, build_staging(landing, latest_only=latest_only), f"{base}/landing")
 
     def table(name: str, df: DataFrame) -> DataFrame:
         path = f"{base}/marts/{name}"
