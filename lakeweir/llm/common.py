@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 SINGLE = 2
 # Kinds of octets: white space or not; and white space, letters with all beyond ASCII, digits, others.
@@ -32,6 +33,16 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return frame.select(*columns) if columns else frame
 
 
+def batch_rows(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows that a Python worker gets at once, unless the submit line sets them.
+
+    Long texts, and sets made of them, stand in a worker as often as its steps copy them; so operators
+    whose work ends with a row take few at once.
+    """
+    if not spark.sparkContext.getConf().contains(BATCH_ROWS):
+        spark.conf.set(BATCH_ROWS, str(rows))
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``; a null id falls into fold 0."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % modulus, F.lit(0))

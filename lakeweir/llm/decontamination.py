@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.common import U, Words, grams_of, plain, text_pieces, words_of
+from lakeweir.llm.common import U, Words, batch_rows, grams_of, plain, text_pieces, words_of
 
 GRAM = 3  # words of a seed
 WINDOW = 4  # of so many neighbouring n-grams of an item, the rarest is a seed
@@ -201,6 +201,7 @@ def matches_of(docs: DataFrame, matcher: Matcher) -> DataFrame:
 
 def blocks(benchmark: DataFrame) -> Iterator[list[Item]]:
     """The benchmark in blocks of about BLOCK items, cut by a hash of the item. Equal rows count once."""
+    batch_rows(benchmark.sparkSession)
     rows = benchmark.select("item_id", "text").where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).distinct()
     n = max(1, -(-rows.count() // BLOCK))
     for k in range(n):

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.common import U, Words, fold_of, mix, pieces, plain, text_pieces, words_of
+from lakeweir.llm.common import U, Words, batch_rows, fold_of, mix, pieces, plain, text_pieces, words_of
 from lakeweir.llm.elias_fano import Codes, EliasFano, Trie
 
 FOLDS, HELD_OUT = 7, 2
@@ -257,6 +257,7 @@ def score_texts(docs: DataFrame, totals: Totals | None = None) -> DataFrame:
     training fold; repeated rows are texts of their own; an empty table gives an empty result;
     without training texts every token is unknown.
     """
+    batch_rows(docs.sparkSession, 10_000)  # a block is cut from one batch
     totals = totals or count_words(docs)
 
     def answer(group: pd.DataFrame) -> pd.DataFrame:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.common import U, grams_of, mix, plain, text_pieces, words_of
+from lakeweir.llm.common import U, batch_rows, grams_of, mix, plain, text_pieces, words_of
 from lakeweir.sources.sinks import staged
 
 SHINGLE = 5
@@ -242,6 +242,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nothing, has no component and is kept. Rows that repeat an id are one group: kept holds for
     each of them. An empty table gives an empty result.
     """
+    batch_rows(docs.sparkSession)
     rows = staged(described(docs), "near-rows")
     sets = rows.where("key is not null and doc_id is not null").groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")

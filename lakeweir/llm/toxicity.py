@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.common import BY_TERM, U, fold, fold_of, plain, text_pieces, words_of
+from lakeweir.llm.common import BY_TERM, U, batch_rows, fold, fold_of, plain, text_pieces, words_of
 from lakeweir.llm.labelled import balanced, sample_labels
 
 FOLDS, HELD_OUT = 3, 1
@@ -140,6 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     The sampled ids (bounded, so broadcast) select the texts in one scan; hashed terms of the
     sample reach the driver. Equal texts count once, so a group of copies weighs as one.
     """
+    batch_rows(docs.sparkSession)
     sample = sample_labels(labels, "toxic", fold(F.col("doc_id"), FOLDS), HELD_OUT, per_class)
     picked = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(sample), "doc_id")
 
