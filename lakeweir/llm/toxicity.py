@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -94,15 +95,17 @@ def fit(terms: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, steps:
     negative = float(weights[labels == 0].sum())
     bias = float(np.log((positive + 0.5) / (negative + 0.5)))
     both = [np.bincount(np.concatenate([*(t for t, y in zip(terms, labels) if y == c), np.zeros(0, np.int32)]),
-                        minlength=1 << BUCKET_BITS).astype(float) for c in (0, 1)]
+                        minlength=1 << BUCKET_BITS).astype(np.int32) for c in (0, 1)]
     rows = [float((labels == c).sum()) for c in (0, 1)]
     if min(rows) > 0:
+        present = np.flatnonzero(both[0] + both[1])
+        both = [b[present].astype(float) for b in both]
         pooled = (both[0] + both[1]) / sum(rows)
-        statistic = np.zeros(1 << BUCKET_BITS)
+        statistic = np.zeros(len(present))
         for seen, n in zip(both, rows):
             for part, expected in ((seen, pooled * n), (n - seen, (1 - pooled) * n)):
                 statistic += 2 * np.where(part > 0, part * np.log(np.maximum(part, 1e-9) / np.maximum(expected, 1e-9)), 0)
-        chosen = np.flatnonzero(statistic >= EVIDENCE)
+        chosen = present[statistic >= EVIDENCE]
     size = len(chosen)
     linear, factors = np.zeros(size), np.random.default_rng(7).normal(0, 0.05, (size, RANK))
     model = Model(chosen, bias, linear, factors)
@@ -151,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
                 yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "terms": terms})
 
     got = picked.mapInPandas(hashed, "doc_id long, label int, terms binary").collect()
-    unique = {(bytes(r["terms"]), r["label"]): r for r in sorted(got, key=lambda r: r["doc_id"])}
+    unique = {(hashlib.sha256(r["terms"]).digest(), r["label"]): r for r in sorted(got, key=lambda r: r["doc_id"])}
     rows = sorted(unique.values(), key=lambda r: r["doc_id"])
     y = np.array([r["label"] for r in rows], dtype=float)
     return fit([np.frombuffer(r["terms"], np.int32) for r in rows], y, balanced(y))
