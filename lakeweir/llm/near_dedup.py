@@ -242,7 +242,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nothing, has no component and is kept. Rows that repeat an id are one group: kept holds for
     each of them. An empty table gives an empty result.
     """
-    batch_rows(docs.sparkSession)
+    batch_rows(docs.sparkSession, 128)  # two full sets of the longest texts stand in each row of a check
     rows = staged(described(docs), "near-rows")
     sets = rows.where("key is not null and doc_id is not null").groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")
