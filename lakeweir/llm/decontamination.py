@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment of words."""
+"""Benchmark decontamination: n-gram seeds, a bound by shared words, then local alignment of words."""
 
 from __future__ import annotations
 
@@ -11,14 +11,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.common import U, Words, batch_rows, grams_of, plain, text_pieces, words_of
+from lakeweir.llm.common import U, Words, batch_rows, grams_of, pieces, plain, text_pieces, words_of
 
-GRAM = 3  # words of a seed
-WINDOW = 4  # of so many neighbouring n-grams of an item, the rarest is a seed
+GRAM = 2  # words of a seed
+SHORT = 3  # items of up to so many words have single words as seeds
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5  # alignment score against that of a whole verbatim copy
 BLOCK = 50_000  # items whose n-grams are broadcast at once; a larger benchmark takes several passes
-MARGIN = 0.5  # share of an item's length by which an aligned window goes beyond it on each side
+ENTRIES = 1 << 15  # seed hits, times the items of each seed, that are bounded at once
 
 MATCHES = (
     "doc_id long, item_id long, score double, identity double, n_seeds long, "
@@ -32,9 +32,13 @@ class Item(NamedTuple):
     grams: np.ndarray
 
 
-def cell_grams(words: np.ndarray) -> np.ndarray:
-    """n-grams of an item; one with fewer words than GRAM is a single n-gram of its own length."""
-    return grams_of(words, GRAM if len(words) >= GRAM else max(1, len(words)))
+def gram_words(length: int) -> int:
+    """Words of the seeds of an item of ``length`` words.
+
+    An alignment without two words matching in a row has a break for each match but one, so its
+    score is one more than the item's words at most: it is no match, except just at THRESHOLD.
+    """
+    return GRAM if length > SHORT else 1
 
 
 def items_of(rows) -> list[Item]:
@@ -42,12 +46,12 @@ def items_of(rows) -> list[Item]:
     rows = [(i, t) for i, t in rows if i is not None and t is not None]
     words = words_of([t for _, t in rows])
     parts = [(rows[k][0], words.of(k)) for k in range(len(rows))]
-    return [Item(i, w, cell_grams(w)) for i, w in parts if len(w)]
+    return [Item(i, w, grams_of(w, gram_words(len(w)))) for i, w in parts if len(w)]
 
 
 def lengths_of(items: list[Item]) -> list[int]:
-    """Lengths of n-grams in use: GRAM, and those of shorter items."""
-    return sorted({min(GRAM, len(i.words)) for i in items})
+    """Lengths of n-grams in use."""
+    return sorted({gram_words(len(i.words)) for i in items})
 
 
 class Seeds:
@@ -75,19 +79,6 @@ class Seeds:
         return text[order], at[order], position[order]
 
 
-def choose_seeds(items: list[Item], counts: dict[int, int]) -> set[int]:
-    """Of every WINDOW neighbouring n-grams of an item, the one rarest in the corpus.
-
-    So any WINDOW + GRAM - 1 words copied in a row hold a seed, however often they were copied.
-    """
-    chosen: set[int] = set()
-    for item in items:
-        grams = item.grams.tolist()
-        for begin in range(max(1, len(grams) - WINDOW + 1)):
-            chosen.add(min(grams[begin : begin + WINDOW], key=lambda g: (counts.get(g, 0), g)))
-    return chosen
-
-
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
     """Smith-Waterman over words: best score, words that match on its path, and its span in ``text``."""
     n = len(text)
@@ -113,11 +104,10 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
     return best, same, int(j), end
 
 
-def regions(positions: np.ndarray, offsets: np.ndarray, length: int, n_words: int) -> list[tuple[int, int]]:
-    """Windows of a text that cover where an item may lie given its seeds there; touching ones are one."""
-    spare = int(np.ceil(length * MARGIN)) + 1
+def regions(begins: np.ndarray, length: int, spare: int, n_words: int) -> list[tuple[int, int]]:
+    """Windows of a text around the places where an item may begin; touching ones are one."""
     out: list[tuple[int, int]] = []
-    for begin in np.sort(np.unique(positions - offsets)):
+    for begin in np.unique(begins):
         low, high = max(0, int(begin) - spare), min(n_words, int(begin) + length + spare)
         if out and low <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], high))
@@ -127,67 +117,90 @@ def regions(positions: np.ndarray, offsets: np.ndarray, length: int, n_words: in
 
 
 class Matcher:
-    """Items with their seeds, ready to look for them in texts. Its size follows the block of items."""
+    """Items with all their n-grams, ready to look for them in texts. Its size follows the block of items."""
 
-    def __init__(self, items: list[Item], chosen: set[int], threshold: float):
+    def __init__(self, items: list[Item], threshold: float):
         self.items, self.threshold = items, threshold
-        pairs = [(g, k, at) for k, item in enumerate(items) for at, g in enumerate(item.grams.tolist()) if g in chosen]
-        pairs.sort()
-        gram = np.array([p[0] for p in pairs], dtype=U)
-        grams, first = np.unique(gram, return_index=True)
+        self.lengths = np.array([len(i.words) for i in items])
+        # A match loses at most so much to gaps, so it lies within so many words of where a seed puts the item.
+        self.spare = np.ceil(MATCH * self.lengths * (1 - threshold)).astype(np.int64)
+        gram = np.concatenate([i.grams for i in items])
+        owner = np.repeat(np.arange(len(items)), [len(i.grams) for i in items])
+        offset = np.concatenate([np.arange(len(i.grams)) for i in items])
+        order = np.argsort(gram, kind="stable")
+        grams, first = np.unique(gram[order], return_index=True)
         self.seeds = Seeds(grams, lengths_of(items))
         self.first = np.append(first, len(gram))
-        self.owner = np.array([p[1] for p in pairs], dtype=np.int64)
-        self.offset = np.array([p[2] for p in pairs], dtype=np.int64)
+        self.owner, self.offset = owner[order], offset[order]
+        self.vocabulary = np.unique(np.concatenate([i.words for i in items]))
 
     def search(self, texts) -> Iterator[tuple[int, list[tuple]]]:
         """Of the texts with matches: place in ``texts``, and what was found there."""
         for begin, end in text_pieces(texts):
             words = words_of(texts[begin:end])
-            text, at, position = self.seeds.hits(words)
-            for k in np.unique(text):
-                own = slice(*np.searchsorted(text, [k, k + 1]))
-                if found := self.find(words.of(k), at[own], position[own]):
+            places = self.places(words)
+            for k in np.unique(places[0]):
+                own = slice(*np.searchsorted(places[0], [k, k + 1]))
+                if found := self.find(words.of(k), places[1][own], places[2][own]):
                     yield begin + int(k), found
 
-    def find(self, words: np.ndarray, at: np.ndarray, position: np.ndarray) -> list[tuple]:
-        """Per item found: id, score, identity, seeds, its words, span of the best alignment in words."""
+    def places(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, item and word where the item would begin, of all seed hits whose surroundings share
+        enough words with the item for a match; ordered by text."""
+        text, at, position = self.seeds.hits(words)
         times = self.first[at + 1] - self.first[at]
-        entry = np.repeat(self.first[at], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        owner, offset, place = self.owner[entry], self.offset[entry], np.repeat(position, times)
+        number = np.minimum(np.searchsorted(self.vocabulary, words.hashes), len(self.vocabulary) - 1)
+        number[self.vocabulary[number] != words.hashes] = len(self.vocabulary)
+        local = np.zeros(len(self.vocabulary) + 1, dtype=np.int64)
+        out = [np.zeros((3, 0), dtype=np.int64)]
+        for low, high in pieces(times.tolist(), ENTRIES):
+            n, first = times[low:high], self.first[at[low:high]]
+            entry = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            owner = self.owner[entry]
+            begin = np.repeat(position[low:high], n) - self.offset[entry]
+            rows = np.unique(np.stack([owner, np.repeat(text[low:high], n), begin]), axis=1) if len(entry) else out[0]
+            for group in np.split(rows, np.flatnonzero(np.diff(rows[0])) + 1, axis=1):
+                if group.shape[1]:
+                    out.append(group[:, self.may_match(int(group[0, 0]), words.starts[group[1]] + group[2], number, local)])
+        owner, text, begin = np.concatenate(out, axis=1)
+        order = np.lexsort((owner, text))
+        return text[order], owner[order], begin[order]
+
+    def may_match(self, owner: int, begins: np.ndarray, number: np.ndarray, local: np.ndarray) -> np.ndarray:
+        """Whether the words around ``begins`` that the item has too, each as often as in the item at
+        most, would reach the threshold if all of them matched. Words of neighbouring texts may count."""
+        length, spare = int(self.lengths[owner]), int(self.spare[owner])
+        own, often = np.unique(self.items[owner].words, return_counts=True)
+        at = np.searchsorted(self.vocabulary, own)
+        local[at] = np.arange(1, len(own) + 1)
+        window = np.arange(-spare, length + spare)
+        inside = local[number[np.clip(begins[:, None] + window, 0, len(number) - 1)]]
+        local[at] = 0
+        enough = np.count_nonzero(inside, axis=1) >= self.threshold * length
+        left = np.flatnonzero(enough)
+        size = len(own) + 1
+        seen = np.bincount((np.arange(len(left))[:, None] * size + inside[left]).ravel(), minlength=len(left) * size)
+        shared = np.minimum(seen.reshape(len(left), size)[:, 1:], often).sum(axis=1)
+        enough[left] = shared >= self.threshold * length
+        return enough
+
+    def find(self, words: np.ndarray, owner: np.ndarray, begin: np.ndarray) -> list[tuple]:
+        """Per item found: id, score, identity, seeds, its words, span of the best alignment in words."""
         out = []
-        order = np.argsort(owner, kind="stable")
-        for group in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
-            item = self.items[owner[group[0]]]
+        for group in np.split(np.arange(len(owner)), np.flatnonzero(np.diff(owner)) + 1):
+            k = owner[group[0]]
+            item = self.items[k]
             best = (0, 0, 0, 0)
-            for low, high in regions(place[group], offset[group], len(item.words), len(words)):
-                score, same, begin, end = align(item.words, words[low:high])
-                best = max(best, (score, same, low + begin, low + end))
+            for low, high in regions(begin[group], len(item.words), int(self.spare[k]), len(words)):
+                score, same, start, end = align(item.words, words[low:high])
+                best = max(best, (score, same, low + start, low + end))
             share = best[0] / (MATCH * len(item.words))
             if share >= self.threshold:
-                seeds = len(np.unique(offset[group]))
+                seeds = int(np.isin(item.grams, grams_of(words, gram_words(len(item.words)))).sum())
                 out.append((item.item_id, share, best[1] / len(item.words), seeds, len(item.words), best[2], best[3]))
         return out
 
 
-def count_seeds(docs: DataFrame, items: list[Item]) -> dict[int, int]:
-    """How often each n-gram of the items occurs in all of ``docs``; a count per task is sent on."""
-    known = np.unique(np.concatenate([i.grams for i in items]))
-    seeds = Seeds(known, lengths_of(items))
-
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(len(known), dtype=np.int64)
-        for batch in batches:
-            texts = plain(batch["text"])
-            for begin, end in text_pieces(texts):
-                total += np.bincount(seeds.hits(words_of(texts[begin:end]))[1], minlength=len(known))
-        seen = np.flatnonzero(total)
-        yield pd.DataFrame({"gram": seen, "n": total[seen]})
-
-    rows = docs.select("text").mapInPandas(counted, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {int(known[r["gram"]]): r["n"] for r in rows.collect()}
-
-
 def matches_of(docs: DataFrame, matcher: Matcher) -> DataFrame:
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in MATCHES.split(", ")]
@@ -215,15 +228,16 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, threshold: float =
     """Pairs of a document and a benchmark item that it contains: doc_id, item_id, score, identity,
     n_seeds, item_words, doc_start, doc_end (words, end excluded).
 
-    Two scans of the whole texts and no shuffle of them: one counts the items' n-grams in the
-    corpus, the other looks for the rare ones and aligns around them. What is broadcast is one
-    block of items; larger benchmarks go block by block. ``score`` is the Smith-Waterman score over
-    that of a verbatim copy. A null or empty text matches nothing; a null doc_id stays null;
+    One scan of the whole texts and no shuffle of them looks for all n-grams of the items and aligns
+    around those hits whose surroundings share enough words. At THRESHOLD that finds what aligning
+    every text with every item would, but for a copy in which no two words match in a row; such a
+    copy scores one word over half of the item's at most. What is broadcast is one block of items;
+    larger benchmarks go block by block. ``score`` is the Smith-Waterman score over that of a
+    verbatim copy; ``n_seeds`` counts the item's n-grams that the text holds. A null or empty text matches nothing; a null doc_id stays null;
     repeated rows give repeated results; equal items with other ids match each; with an empty
     benchmark or table the result is empty.
     """
-    found = [matches_of(docs, Matcher(items, choose_seeds(items, count_seeds(docs, items)), threshold))
-             for items in blocks(benchmark)]
+    found = [matches_of(docs, Matcher(items, threshold)) for items in blocks(benchmark)]
     if not found:
         return docs.sparkSession.createDataFrame([], MATCHES)
     return reduce(DataFrame.unionAll, found)
@@ -232,7 +246,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, threshold: float =
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, whose whole text contains no benchmark item."""
     for items in blocks(benchmark):
-        matcher = Matcher(items, choose_seeds(items, count_seeds(docs, items)), threshold)
+        matcher = Matcher(items, threshold)
 
         def clean(matcher=matcher):
             @F.pandas_udf("boolean")

@@ -161,6 +161,27 @@ def test_alignment_and_contamination(spark, empty):
     assert decontamination.find_contamination(frame, bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("every", [3, 4, 5, 6])
+def test_edited_copies_are_found_as_by_aligning_all(spark, every):
+    """An edit every few words, replaced or put in between, and short items: the pairs of brute force."""
+    dice = random.Random(every)
+    words = [f"w{i}" for i in range(150)]
+    items = [(k, [dice.choice(words) for _ in range(n)]) for k, n in enumerate([2, 3, 4, 5, 9, 24, 40])]
+    docs = []
+    for _, item in items:
+        for put in (1, 0):  # replaced, or put in before
+            copy = [x for i, w in enumerate(item) for x in ([w] if (i + 1) % every else ["new"] if put else ["new", w])]
+            docs.append([f"n{dice.randrange(99)}" for _ in range(30)] + copy + [f"n{dice.randrange(99)}" for _ in range(9)])
+    docs += [item[:2] + ["new"] + item[3:] for _, item in items] + [[dice.choice(words) for _ in range(200)]]
+    want = {(d, k): s for d, doc in enumerate(docs) for k, item in items
+            if (s := plain_alignment(item, doc) / (2 * len(item))) >= 0.5}
+    got = decontamination.find_contamination(
+        spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string"),
+        spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): r.score for r in got} == want
+    assert len({d for d, k in want if d < 14 and d // 2 == k}) >= 12
+
+
 @pytest.mark.parametrize("digest", ["sha256", "weak"])
 def test_exact_dedup(spark, corpus, digest):
     path, rows = corpus
