@@ -20,7 +20,9 @@ BUCKET_BITS = 22
 PART = 4  # octets of the inner runs of a word that count as terms too
 RANK = 6
 PER_CLASS = 3000  # bound of the training sample: rows of each class
-EVIDENCE = 24.0  # least likelihood-ratio statistic of a bucket that gets weights
+SUPPORT = 2  # training rows that hold a bucket, at least, for it to get weights and factors
+BATCH = 256  # training rows of a step
+PASSES, STEPS = 20, 400  # over the sample; and steps at least, where the sample is small
 
 
 class Model(NamedTuple):
@@ -83,53 +85,69 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit(terms: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, steps: int = 400, rate: float = 0.05,
-        decay: float = 1e-5) -> Model:
-    """Weighted logistic loss, all rows per step, moments of the gradient per weight; fixed seed.
+def evidence(found: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Likelihood-ratio statistic of each bucket's presence against the class, from its rows per class."""
+    pooled = found.sum(axis=0) / rows.sum()
+    out = np.zeros(found.shape[1])
+    for seen, n in zip(found, rows):
+        for part, expected in ((seen, pooled * n), (n - seen, (1 - pooled) * n)):
+            out += 2 * np.where(part > 0, part * np.log(np.maximum(part, 1e-9) / np.maximum(expected, 1e-9)), 0)
+    return np.maximum(out, 0)
 
-    Only buckets whose presence tells the classes apart by ``EVIDENCE`` are given weights. One class
-    alone, or no rows, leaves the share of that class (a half without rows) as the score.
+
+def fit(terms: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, rate: float = 0.02, decay: float = 1e-5,
+        doubt: float = 0.3, factor_decay: float = 3e-3) -> Model:
+    """Weighted logistic loss, BATCH rows per step, moments of the gradient per weight; fixed seed.
+
+    Every bucket that SUPPORT rows hold has a linear weight and factors, so that terms which tell
+    nothing apart can tell the classes apart together. Linear weights decay by up to ``doubt``
+    where presence alone says little; factors all decay alike. One class alone, or no rows, leaves
+    the share of that class (a half without rows) as the score.
     """
     chosen = np.zeros(0, dtype=np.int64)
     positive = float(weights[labels == 1].sum())
     negative = float(weights[labels == 0].sum())
     bias = float(np.log((positive + 0.5) / (negative + 0.5)))
-    both = [np.bincount(np.concatenate([*(t for t, y in zip(terms, labels) if y == c), np.zeros(0, np.int32)]),
-                        minlength=1 << BUCKET_BITS).astype(np.int32) for c in (0, 1)]
-    rows = [float((labels == c).sum()) for c in (0, 1)]
-    if min(rows) > 0:
-        present = np.flatnonzero(both[0] + both[1])
-        both = [b[present].astype(float) for b in both]
-        pooled = (both[0] + both[1]) / sum(rows)
-        statistic = np.zeros(len(present))
-        for seen, n in zip(both, rows):
-            for part, expected in ((seen, pooled * n), (n - seen, (1 - pooled) * n)):
-                statistic += 2 * np.where(part > 0, part * np.log(np.maximum(part, 1e-9) / np.maximum(expected, 1e-9)), 0)
-        chosen = present[statistic >= EVIDENCE]
+    rows = np.array([float((labels == c).sum()) for c in (0, 1)])
+    if rows.min() > 0:
+        found = np.stack([np.bincount(np.concatenate([t for t, y in zip(terms, labels) if y == c]),
+                                      minlength=1 << BUCKET_BITS) for c in (0, 1)])
+        chosen = np.flatnonzero(found.sum(axis=0) >= SUPPORT)
+        found = found[:, chosen].astype(float)
     size = len(chosen)
-    linear, factors = np.zeros(size), np.random.default_rng(7).normal(0, 0.05, (size, RANK))
-    model = Model(chosen, bias, linear, factors)
+    dice = np.random.default_rng(7)
+    model = Model(chosen, bias, np.zeros(size, np.float32), np.zeros((size, RANK), np.float32))
     if size == 0:
         return model
     features = known(model.place(), terms)
-    flat = np.concatenate(features).astype(np.int64)
-    row = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    share = weights / weights.sum()
-    state = [np.zeros(1 + size + size * RANK) for _ in range(2)]
-    value = np.concatenate([[bias], linear, factors.ravel()])
-    for step in range(1, steps + 1):
-        linear, factors = value[1 : 1 + size], value[1 + size :].reshape(size, RANK)
-        gap = share * (sigmoid(margins(Model(chosen, value[0], linear, factors), features)) - labels)
+    linear_decay = decay + doubt / (1 + evidence(found, rows) ** 4 / 100)
+    shrink = np.concatenate([[0.0], linear_decay, np.full(size * RANK, factor_decay)])
+    value = np.concatenate([[bias], np.zeros(size), dice.normal(0, 0.02, size * RANK)])
+    state = [np.zeros(len(value)) for _ in range(2)]
+    batches = -(-len(features) // BATCH)
+    last = max(STEPS, PASSES * batches)
+    for step in range(last):
+        if step % batches == 0:
+            order = dice.permutation(len(features))
+        own = order[step % batches * BATCH :][:BATCH]
+        flat = np.concatenate([features[i] for i in own]).astype(np.int64)
+        row = np.repeat(np.arange(len(own)), [len(features[i]) for i in own])
+        margin = value[0] + np.bincount(row, value[1 : 1 + size][flat], len(own))
+        held, sums = [], []
+        for factor in value[1 + size :].reshape(RANK, size):
+            held.append(factor[flat])
+            sums.append(np.bincount(row, held[-1], len(own)))
+            margin += 0.5 * (sums[-1] ** 2 - np.bincount(row, held[-1] ** 2, len(own)))
+        gap = weights[own] * (sigmoid(margin) - labels[own]) / len(own)
         gradient = [np.array([gap.sum()]), np.bincount(flat, gap[row], size)]
-        columns = []
-        for k in range(RANK):
-            v = factors[flat, k]
-            columns.append(np.bincount(flat, gap[row] * (np.bincount(row, v, len(gap))[row] - v), size))
-        gradient = np.concatenate([*gradient, np.stack(columns, 1).ravel()]) + decay * np.r_[0.0, value[1:]]
+        gradient += [np.bincount(flat, gap[row] * (total[row] - v), size) for v, total in zip(held, sums)]
+        gradient = np.concatenate(gradient) + shrink * value
         state[0] = 0.9 * state[0] + 0.1 * gradient
         state[1] = 0.99 * state[1] + 0.01 * gradient**2
-        value = value - rate * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.99**step)) + 1e-9)
-    return Model(chosen, float(value[0]), value[1 : 1 + size], value[1 + size :].reshape(size, RANK))
+        scale = np.sqrt(state[1] / (1 - 0.99 ** (step + 1))) + 1e-4
+        value = value - rate * (1 - step / last) * (state[0] / (1 - 0.9 ** (step + 1))) / scale
+    factors = value[1 + size :].reshape(RANK, size).T
+    return Model(chosen, float(value[0]), value[1 : 1 + size].astype(np.float32), factors.astype(np.float32))
 
 
 def score_texts(model: Model, texts, place: np.ndarray | None = None) -> np.ndarray:

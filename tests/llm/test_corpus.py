@@ -117,6 +117,23 @@ def test_classifiers(spark, corpus, empty):
         assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % module.FOLDS == module.HELD_OUT) for r in out)
 
 
+def test_terms_toxic_only_together(spark):
+    """Two terms as frequent in clean as in toxic rows, toxic only together; and an insult of a few rows."""
+    dice = random.Random(5)
+    marks = [("groupname harmless", 1), ("awfulinsult", 1), ("awfulinsult", 1), ("groupname", 0), ("harmless", 0), ("", 0)]
+    rows = []
+    for i in range(900):
+        mark, toxic = marks[i % 6]
+        words = [f"word{dice.randrange(60)}" for _ in range(8)]
+        if i % 60 == 1:
+            mark = "seldomslur"
+        rows.append((i, f"{mark} {' '.join(words)}", toxic))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    out = toxicity.score_toxicity(table, toxicity.train(table, table)).where("held_out").collect()
+    wrong = [r.doc_id for r in out if r.predicted != rows[r.doc_id][2]]
+    assert len(out) > 250 and not wrong
+
+
 def test_long_texts_score_alike():
     net = quality.fit([b"abc " * 40, b"|||| " * 40], np.array([1.0, 0.0]), rounds=2)
     text = b"some words | and more " * 20000
