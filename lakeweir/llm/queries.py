@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeweir.llm import (
+    conversation_trie,
     decontamination,
     exact_dedup,
+    fingerprints,
     language_model,
     mixing,
     near_dedup,
     quality,
     secret_scan,
     sharding,
+    spelling,
     token_files,
     toxicity,
 )
@@ -65,12 +68,36 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_secret_scan, op2_toxicity, op3_decontamination, op4_exact_dedup, op5_lm_scoring, op6_near_dedup,
-              op7_source_mixing, op8_token_files, op9_quality, op10_sharding)
+              op7_source_mixing, op8_token_files, op9_quality, op10_sharding, op11_spelling_variants,
+              op12_conversation_trie, op13_fingerprints)
 }
 
+# crc32 by the byte: the table of its 256 remainders, and the checksum of ``{text}``, whose code points are below U+0800.
+CRC_TABLE = """
+        crc AS (
+            SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i:
+                       CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS remainders
+        )"""
+CRC = """xor(4294967295, list_reduce(
+                flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT]
+                    ELSE [192 + (ord(c) >> 6)::BIGINT, 128 + (ord(c) & 63)::BIGINT] END)),
+                lambda c, b: xor(c >> 8, remainders[(xor(c, b) & 255) + 1]), 4294967295::BIGINT))"""
+
 SQL: dict[str, str] = {
     "op4_exact_dedup": """
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
@@ -137,4 +164,91 @@ SQL: dict[str, str] = {
                CASE WHEN copies > 0 THEN round(total * t + tilt * (t * t - t), 3) END AS position
         FROM timed
     """,
+    "op11_spelling_variants": f"""
+        WITH RECURSIVE {CRC_TABLE},
+        found AS (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+                   unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]{{6,}}')) AS run
+            FROM documents
+        ),
+        runs AS (
+            SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+            FROM found GROUP BY ALL
+        ),
+        hashed AS (SELECT run, times, {CRC.format(text="id || ':' || run")} AS h FROM runs, crc),
+        spelled AS (
+            SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+                   times
+            FROM hashed
+        ),
+        words AS (
+            SELECT word, CAST(sum(times) AS BIGINT) AS n FROM spelled
+            WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+        ),
+        places AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words),
+        shorter AS (SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM places),
+        pairs AS (
+            SELECT a.word, b.word AS near FROM shorter a JOIN shorter b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+            UNION SELECT s.word, w.word FROM shorter s JOIN words w ON w.word = s.rest
+            UNION SELECT w.word, s.word FROM shorter s JOIN words w ON w.word = s.rest
+        ),
+        best AS (
+            SELECT p.word, count(*) AS n_near, max(w.n) AS most, arg_min(p.near, (-w.n, p.near)) AS near
+            FROM pairs p JOIN words w ON w.word = p.near GROUP BY p.word
+        ),
+        forms AS (
+            SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * n THEN near END AS form,
+                   CASE WHEN most >= 5 * n THEN most END AS form_n
+            FROM words LEFT JOIN best ON best.word = words.word
+        ),
+        steps AS (
+            SELECT word, word AS root, form AS ahead FROM forms
+            UNION ALL SELECT s.word, f.word, f.form FROM steps s JOIN forms f ON f.word = s.ahead
+        )
+        SELECT f.word, f.form, s.root, f.n, f.n_near, f.form_n
+        FROM forms f JOIN steps s ON s.word = f.word AND s.ahead IS NULL
+    """,
+    "op12_conversation_trie": f"""
+        WITH {CRC_TABLE},
+        said AS (
+            SELECT conv_id, turn, strlen(coalesce(text, '')) AS octets,
+                   sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        own AS (
+            SELECT conv_id, list(struct_pack(digest := digest, octets := octets) ORDER BY turn NULLS FIRST, digest) AS turns
+            FROM said GROUP BY conv_id
+        ),
+        hashed AS (
+            SELECT own.*, {CRC.format(text="CAST(conv_id AS VARCHAR)")} % 9 AS h FROM own, crc
+        ),
+        rebuilt AS (
+            SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+            FROM hashed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5
+        ),
+        paths AS (
+            SELECT conv_id, len(turns) AS size, turns,
+                   list_transform(range(len(turns) + 1), lambda d: sha256(array_to_string(list_transform(turns[1:d], lambda t: t.digest), ''))) AS path
+            FROM rebuilt
+        ),
+        steps AS (SELECT *, unnest(range(size + 1)) AS depth FROM paths),
+        nodes AS (
+            SELECT path[depth + 1] AS id, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   any_value(CASE WHEN depth > 0 THEN path[depth] END) AS parent, any_value(path[1:depth + 1]) AS above,
+                   any_value(CASE WHEN depth > 0 THEN turns[depth].octets ELSE 0 END) AS octets,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE size = depth), '')) AS ends
+            FROM steps GROUP BY path[depth + 1], depth
+        ),
+        counted AS (
+            SELECT n.*, coalesce(children, 0) AS n_children
+            FROM nodes n LEFT JOIN (SELECT parent, count(*) AS children FROM nodes GROUP BY parent) c ON c.parent = n.id
+        ),
+        sums AS (
+            SELECT id, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * octets) AS BIGINT) AS saved
+            FROM (SELECT unnest(above) AS id, n_children, n_convs, octets FROM counted) GROUP BY id
+        )
+        SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves,
+               s.saved AS saved_tokens, c.ends AS ends_sha256
+        FROM counted c JOIN sums s ON s.id = c.id LEFT JOIN nodes p ON p.id = c.parent
+    """,
 }
