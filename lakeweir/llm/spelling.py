@@ -19,8 +19,8 @@ RATIO = 5
 TYPO = 199
 # Code points that the first partitions read before the acceptor begins, at either end of a word.
 ENDS = 3
-# Words of one acceptor; partitions with more are cut at narrower edit windows, the narrowest hold under 8,200.
-LARGEST = 20_000
+# Words of one acceptor; partitions with more are cut at narrower edit windows. The narrowest hold under 8,200.
+LARGEST = 2_000
 LETTERS = "A-Za-zÀ-ÿ"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 PLACE = ["least", "first", "last", "head", "tail"]
