@@ -19,8 +19,10 @@ from lakeweir.sources.sinks import staged
 
 FAMILY = 5
 HEADS = 9
-# Turns of one prefix shard; prefixes that more turns share are cut deeper. Also turns of one pair of arrays.
-LARGEST = 1 << 18
+# Turns of one prefix shard; prefixes that more turns share are cut deeper.
+LARGEST = 1 << 11
+# Turns of the shards that share one pair of arrays.
+PACKED = 1 << 16
 CHUNK_BITS = 12
 EMPTY_HASH = hashlib.sha256(b"").hexdigest()
 NODE = (
@@ -152,8 +154,10 @@ class DoubleArray:
 
     def __init__(self, symbols: np.ndarray, starts: np.ndarray):
         self.symbols, self.starts = symbols, starts
-        self.base = np.zeros(1, np.int64)
-        self.check = np.zeros(1, np.int64)
+        self.base = np.zeros(1024, np.int64)
+        self.check = np.full(1024, -1, np.int64)
+        self.check[0] = 0
+        self._lowest = 1
         self.levels: list[np.ndarray] = []
         lengths = np.diff(starts)
         states = np.zeros(len(lengths), np.int64)
@@ -166,13 +170,25 @@ class DoubleArray:
             self.levels.append(slots)
             states[active] = slots[member]
             active = active[lengths[active] > len(self.levels)]
+        kept = int(np.flatnonzero(self.check >= 0)[-1]) + 1
+        self.check, self.base = self.check[:kept], self.base[:kept]
 
-    def _free(self, size: int) -> np.ndarray:
-        """Free slots, at least ``size`` of them beyond the last taken one."""
-        taken = len(self.check)
-        self.check = np.concatenate([self.check, np.full(size, -1, np.int64)])
-        self.base = np.concatenate([self.base, np.zeros(size, np.int64)])
-        return np.flatnonzero(self.check[:taken + size] < 0)
+    def _grow(self, size: int) -> None:
+        if size > len(self.check):
+            more = max(size, 2 * len(self.check)) - len(self.check)
+            self.check = np.concatenate([self.check, np.full(more, -1, np.int64)])
+            self.base = np.concatenate([self.base, np.zeros(more, np.int64)])
+
+    def _fit(self, shape: np.ndarray) -> np.ndarray:
+        """The lowest slots in the given ``shape`` (offsets from the first) that are all free."""
+        begin, step = self._lowest, max(1, min(1 << 12, (1 << 20) // len(shape)))
+        while True:
+            self._grow(begin + step + int(shape[-1]) + 1)
+            free = begin + np.flatnonzero(self.check[begin : begin + step] < 0)
+            fits = (self.check[free[:, None] + shape] < 0).all(axis=1)
+            if fits.any():
+                return free[fits.argmax()] + shape
+            begin += step
 
     def _place(self, parents: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """Slots for the children (parent, symbol), sorted by both."""
@@ -180,31 +196,24 @@ class DoubleArray:
         begins = np.flatnonzero(np.diff(parents, prepend=-1))
         counts = np.diff(begins, append=len(parents))
         for begin, count in zip(begins[counts > 1].tolist(), counts[counts > 1].tolist()):
-            shape = symbols[begin : begin + count] - symbols[begin]
-            free = self._free(int(shape[-1]) + 1)
-            step, at = max(1, (1 << 20) // count), 0
-            last = len(self.check) - int(shape[-1])
-            free = free[free < last]
-            while True:
-                fits = (self.check[free[at : at + step, None] + shape] < 0).all(axis=1)
-                if fits.any():
-                    break
-                at += step
-            taken = free[at + int(fits.argmax())] + shape
+            children = symbols[begin : begin + count]
+            taken = self._fit(children - children[0])
             slots[begin : begin + count] = taken
-            self._take(taken, parents[begin : begin + count], symbols[begin : begin + count])
+            self._take(taken, parents[begin : begin + count], children)
         alone = begins[counts == 1]
-        taken = self._free(len(alone))[: len(alone)]
+        self._grow(len(self.check) + len(alone))
+        taken = (self._lowest + np.flatnonzero(self.check[self._lowest :] < 0))[: len(alone)]
         slots[alone] = taken
         self._take(taken, parents[alone], symbols[alone])
-        # Free slots at the end go.
-        kept = int(np.flatnonzero(self.check >= 0)[-1]) + 1
-        self.check, self.base = self.check[:kept], self.base[:kept]
         return slots
 
     def _take(self, slots: np.ndarray, parents: np.ndarray, symbols: np.ndarray) -> None:
         self.check[slots] = parents
         self.base[parents] = slots - symbols
+        while self.check[self._lowest] >= 0:
+            taken = self.check[self._lowest : self._lowest + 256] >= 0
+            self._lowest += len(taken) if taken.all() else int(taken.argmin())
+            self._grow(self._lowest + 1)
 
     def walk(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Level by level: the sequences that reach it and the state each stands in."""
@@ -234,7 +243,9 @@ def trie_nodes(rows: list[Sequence]) -> pd.DataFrame:
     first = np.zeros(len(symbols), bool)
     first[starts[:-1]] = True
     symbols[first] = [shards[r.prefix] for r in rows]
-    symbols[~first] = np.unique(np.concatenate(after), return_inverse=True)[1]
+    # Numbered as they first come, so that turns that follow the same one have near numbers.
+    _, where, number = np.unique(np.concatenate(after), return_index=True, return_inverse=True)
+    symbols[~first] = np.argsort(np.argsort(where))[number]
     octets = np.concatenate([r.octets[r.cut - 1 :] for r in rows])
     trie = DoubleArray(symbols, starts)
 
@@ -285,7 +296,7 @@ def _tries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows: list[Sequence] = []
     turns = 0
     for _, shard in groupby(_sequences(batches), key=itemgetter(0)):
-        if turns >= LARGEST:
+        if turns >= PACKED:
             yield pa.RecordBatch.from_pandas(trie_nodes(rows), preserve_index=False)
             rows, turns = [], 0
         members = list(shard)
