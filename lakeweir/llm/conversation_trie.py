@@ -201,7 +201,7 @@ class DoubleArray:
             slots[begin : begin + count] = taken
             self._take(taken, parents[begin : begin + count], children)
         alone = begins[counts == 1]
-        self._grow(len(self.check) + len(alone))
+        self._grow(len(self.check) + len(alone) - int((self.check[self._lowest :] < 0).sum()))
         taken = (self._lowest + np.flatnonzero(self.check[self._lowest :] < 0))[: len(alone)]
         slots[alone] = taken
         self._take(taken, parents[alone], symbols[alone])
