@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -31,49 +31,62 @@ def upsert(
     *,
     newest_by: str | None = "extracted_at",
     strict: bool = False,
+    stamps: Sequence[str] = (),
+    guards: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """``target`` after inserting ``batch``; a key already there has ``update_columns`` replaced.
 
     * ``update_columns=None`` updates every column outside the key, ``[]`` keeps existing rows.
+      ``guards`` name a condition for columns that not every new row may update.
     * New values win even when NULL: presence decides, not ``coalesce``.
-    * Rows with a NULL in the key never match and are always inserted. They skip the join, since
-      the join would send all of them to one task.
+    * Rows with a NULL in the key never match a row that differs from them: all their columns but
+      ``stamps``, compared null-safely, are their identity. So each is inserted, equal ones as
+      often as they stand in the batch, and the same batch again changes nothing.
     * Within a batch the row with the greatest ``newest_by`` wins, then the greatest row;
-      ``strict`` raises instead. The pick is an aggregate that combines before the shuffle, so a
-      key repeated very often costs one row per task.
+      ``strict`` raises instead.
+
+    Both inputs are read once: their union, marked by side, is reduced to one row per identity by
+    an aggregate that combines before its shuffle. A key repeated very often costs one row per
+    task, and rows with a NULL in the key spread by their other columns.
     """
-    columns = target.columns
+    columns, kinds = target.columns, {f.name: f.dataType for f in target.schema.fields}
     rest = [c for c in columns if c not in keys]
     if update_columns is None:
         update_columns = rest
     unknown = (set(update_columns) | set(keys)) - set(columns)
     if unknown:
         raise ValueError(f"no such columns: {sorted(unknown)}")
-    batch = batch.select(*columns)
     if strict:
         check_unique(batch, keys)
-    ranked = sorted(rest, key=lambda c: c != newest_by)
-    fresh = (
-        batch.where(_complete(keys))
-        .groupBy(*keys)
-        .agg(F.max(F.struct(F.lit(True).alias("__there"), *ranked)).alias("new"))
-    )
-    old = target.where(_complete(keys)).select(
-        *keys, F.lit(True).alias("has_old"), *[F.col(c).alias(f"old_{c}") for c in rest]
-    )
-    new = fresh.select(
-        *keys, F.lit(True).alias("has_new"), *[F.col(f"new.{c}").alias(f"new_{c}") for c in rest]
+    sides = [
+        target.select(*columns, F.lit(False).alias("__fresh")),
+        batch.select(*[F.col(c).cast(kinds[c]).alias(c) for c in columns], F.lit(True).alias("__fresh")),
+    ]
+    others = [c for c in rest if c not in stamps]
+    alone = F.when(~_complete(keys), F.struct(*others)) if others else F.lit(None)
+    row = F.struct(*sorted(rest, key=lambda c: c != newest_by), F.lit(True).alias("__there"))
+    merged = (
+        sides[0]
+        .unionByName(sides[1])
+        .groupBy(*keys, alone.alias("__alone"))
+        .agg(
+            F.max(F.when(~F.col("__fresh"), row)).alias("__old"),
+            F.max(F.when(F.col("__fresh"), row)).alias("__new"),
+            F.count_if(~F.col("__fresh")).alias("__n_old"),
+            F.count_if(F.col("__fresh")).alias("__n_new"),
+        )
     )
 
     def value(c: str) -> Column:
         if c in keys:
             return F.col(c)
-        before, after = F.col(f"old_{c}"), F.col(f"new_{c}")
-        if c in update_columns:
-            return F.when(F.col("has_new"), after).otherwise(before).alias(c)
-        return F.when(F.col("has_old"), before).otherwise(after).alias(c)
+        before, after = F.col(f"__old.{c}"), F.col(f"__new.{c}")
+        if c not in update_columns:
+            return F.when(F.col("__old").isNotNull(), before).otherwise(after).alias(c)
+        takes = F.col("__new").isNotNull()
+        if guards and c in guards:
+            takes = takes & (F.col("__old").isNull() | guards[c])
+        return F.when(takes, after).otherwise(before).alias(c)
 
-    merged = old.join(new, list(keys), "full").select(*[value(c) for c in columns])
-    for rows in (target, batch):
-        merged = merged.unionByName(rows.where(~_complete(keys)).select(*columns))
-    return merged
+    copies = F.when(_complete(keys), 1).otherwise(F.greatest("__n_old", "__n_new")).cast("int")
+    return merged.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies))).select(*[value(c) for c in columns])

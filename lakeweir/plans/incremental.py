@@ -10,6 +10,7 @@ from lakeweir.operators.upsert import upsert
 from lakeweir.plans.marts import fct_alerts
 from lakeweir.sources.documents import path_exists
 from lakeweir.sources.sinks import upsert_table
+from lakeweir.sources.versions import read_table
 
 KEYS = ["alert_key", "extraction_date"]
 
@@ -31,7 +32,7 @@ def refresh_alert_facts(spark: SparkSession, alerts: DataFrame, path: str, lookb
     """
     schema = fct_alerts(alerts).schema
     if path_exists(spark, path):
-        mark = spark.read.schema(schema).parquet(path).agg(F.max("extraction_date")).first()[0]
+        mark = read_table(spark, path, schema).agg(F.max("extraction_date")).first()[0]
         if mark is not None:
             alerts = alerts.where(F.col("extraction_date") > F.date_sub(F.lit(mark), lookback_days))
     upsert_table(fct_alerts(alerts), path, schema, KEYS, partition_by="extraction_date")

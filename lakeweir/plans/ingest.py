@@ -35,11 +35,12 @@ def ingest_alerts(documents: DataFrame, dictionaries: Mapping[str, DataFrame], b
     Dictionaries: phenomena, colors, departments, stores.
     """
     phenomena, colors = dictionaries["phenomena"], dictionaries["colors"]
+    stamp = F.lit(as_of).cast("timestamp_ntz")
     rows = normalize.alert_rows(documents, phenomena, colors, dictionaries["departments"])
     alerts = valid_rows(rows, "alert", "alerts", base, as_of)
-    upsert_landing(alerts, base, "alerts")
+    upsert_landing(alerts, base, "alerts", created_at=stamp)
     by_store = alerts_by_store(alerts, dictionaries["stores"])
-    upsert_landing(valid_rows(by_store, "store_alert", "store_alerts", base, as_of), base, "store_alerts")
+    upsert_landing(valid_rows(by_store, "store_alert", "store_alerts", base, as_of), base, "store_alerts", created_at=stamp)
     upsert_landing(normalize.metadata_rows(phenomena, colors), base, "alert_metadata")
 
 
@@ -49,33 +50,34 @@ def ingest_risks(documents: DataFrame, dictionaries: Mapping[str, DataFrame], ba
     ``documents`` has ``document``, ``extracted_at`` and ``extraction_date``. Dictionaries:
     departments, risk_types, stores.
     """
+    stamp = F.lit(as_of).cast("timestamp_ntz")
     parsed = staged(normalize.parse_reports(normalize.split_reports(documents)), "reports")
     rows = normalize.profile_rows(parsed, dictionaries["departments"])
     profiles = valid_rows(rows, "commune_profile", "commune_profiles", base, as_of)
-    upsert_landing(profiles, base, "commune_profiles")
+    upsert_landing(profiles, base, "commune_profiles", created_at=stamp)
     details = normalize.detail_rows(parsed, dictionaries["risk_types"])
-    upsert_landing(valid_rows(details, "risk_detail", "risk_details", base, as_of), base, "risk_details")
-    stamp = F.lit(as_of).cast("timestamp_ntz")
+    upsert_landing(valid_rows(details, "risk_detail", "risk_details", base, as_of), base, "risk_details", created_at=stamp)
     stores = risks_by_store(dictionaries["stores"], profiles).withColumns(
         {"extracted_at": stamp, "extraction_date": stamp.cast("date")}
     )
-    upsert_landing(valid_rows(stores, "store_risk", "store_risks", base, as_of), base, "store_risks")
+    upsert_landing(valid_rows(stores, "store_risk", "store_risks", base, as_of), base, "store_risks", created_at=stamp)
 
 
 def ingest_books(listings: DataFrame, details: DataFrame, base: str, as_of: str) -> None:
     """Listing and detail pages to ``books``; anomalies go to ``anomalies/books`` by date instead."""
-    landed = pages.land_books(listings, details, F.lit(as_of).cast("timestamp_ntz"))
+    stamp = F.lit(as_of).cast("timestamp_ntz")
+    landed = pages.land_books(listings, details, stamp)
     valid = valid_rows(landed, "book", "books", base, as_of)
     flagged = staged(detect_anomalies(valid, ["price", "stock_count"]), "books-flagged")
     anomalies, clean = split_anomalies(flagged)
     replace_partitions(anomalies, f"{base}/anomalies/books", "extraction_date")
-    upsert_landing(clean, base, "books")
+    upsert_landing(clean, base, "books", created_at=stamp)
 
 
 def ingest_quotes(quote_pages: DataFrame, author_pages: DataFrame, base: str, as_of: str) -> None:
     """Quote pages (page_no, url, html) and author pages (slug, html) to ``quotes`` and ``authors``."""
     stamp = F.lit(as_of).cast("timestamp_ntz")
     quotes = valid_rows(pages.land_quotes(quote_pages, stamp), "quote", "quotes", base, as_of)
-    upsert_landing(quotes, base, "quotes")
+    upsert_landing(quotes, base, "quotes", created_at=stamp)
     authors = valid_rows(pages.author_records(author_pages, stamp), "author", "authors", base, as_of)
-    upsert_landing(authors, base, "authors")
+    upsert_landing(authors, base, "authors", created_at=stamp)

@@ -12,11 +12,16 @@ from lakeweir.plans import marts, staging
 from lakeweir.plans.incremental import refresh_alert_facts
 from lakeweir.sources.catalog import Catalog, Dataset
 from lakeweir.sources.sinks import replace_partitions, replace_snapshot
+from lakeweir.sources.versions import read_table
 
 DATED = ("stg_alerts", "stg_commune_profiles", "stg_risk_details")
 
 
-def build_staging(landing: Catalog | Mapping[str, DataFrame], *, latest_only: bool = False) -> dict[str, DataFrame]:
+# Days that a report's newest data may be old at the time of the run; books and quotes come weekly at most.
+MAX_DATA_AGE = {"rpt_risk_summary": 2, "rpt_book_stats": 31, "rpt_quote_stats": 31}
+
+
+def build_staging(landing: Catalog | Mapping[str, DataFrame], *, latest_only: bool = True) -> dict[str, DataFrame]:
     """The staging views; ``latest_only`` keeps the newest extraction of books and quotes."""
     return {
         "stg_alerts": staging.stg_alerts(landing["alerts"]),
@@ -51,24 +56,27 @@ def refresh(
     *,
     max_age_days: int = 2,
     lookback_days: int = 0,
-    latest_only: bool = False,
+    latest_only: bool = True,
+    max_data_age_days: Mapping[str, int] | None = None,
 ) -> dict[str, int]:
     """Run staging, marts and reports below ``base``; returns row counts per report or raises.
 
-    ``latest_only`` models the newest extraction of books and quotes instead of all of them.
-    ``as_of`` is the run's timestamp; it stamps the reports, so a rerun gives the same files.
-    Dimensions that several marts read are written once and read back.
+    ``latest_only`` models the newest extraction of books and quotes; without it every extraction
+    counts again. ``as_of`` is the run's timestamp; it stamps the reports, so a rerun gives the same
+    files. The gate judges the stamps, and the newest extraction behind each report by
+    ``max_data_age_days`` (default MAX_DATA_AGE). Dimensions that several marts read are written
+    once and read back.
     """
     views = export_staging(spark, build_staging(landing, latest_only=latest_only), f"{base}/landing")
 
     def table(name: str, df: DataFrame) -> DataFrame:
         path = f"{base}/marts/{name}"
         replace_snapshot(df, path)
-        return spark.read.schema(df.schema).parquet(path)
+        return read_table(spark, path, df.schema)
 
     facts = f"{base}/marts/fct_alerts"
     refresh_alert_facts(spark, views["stg_alerts"], facts, lookback_days)
-    alerts = spark.read.schema(marts.fct_alerts(views["stg_alerts"]).schema).parquet(facts)
+    alerts = read_table(spark, facts, marts.fct_alerts(views["stg_alerts"]).schema)
     communes = table("dim_communes", marts.dim_communes(views["stg_commune_profiles"], views["stg_risk_details"]))
     books = table("dim_books", marts.dim_books(views["stg_books"]))
     authors = table("dim_authors", marts.dim_authors(views["stg_quotes"]))
@@ -79,5 +87,9 @@ def refresh(
         "rpt_book_stats": table("rpt_book_stats", marts.rpt_book_stats(books, stamp)),
         "rpt_quote_stats": table("rpt_quote_stats", marts.rpt_quote_stats(authors, quotes, stamp)),
     }
-    gate = mart_gate({name: (df, "generated_at") for name, df in reports.items()}, F.lit(as_of).cast("date"), max_age_days)
-    return enforce_mart_gate(gate)
+    today = F.lit(as_of).cast("date")
+    counts = enforce_mart_gate(mart_gate({name: (df, "generated_at") for name, df in reports.items()}, today, max_age_days))
+    sources = {"rpt_risk_summary": alerts, "rpt_book_stats": books, "rpt_quote_stats": quotes}
+    for name, days in (MAX_DATA_AGE if max_data_age_days is None else max_data_age_days).items():
+        enforce_mart_gate(mart_gate({f"data of {name}": (sources[name], "extraction_date")}, today, days))
+    return counts

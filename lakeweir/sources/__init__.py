@@ -5,7 +5,9 @@ from lakeweir.sources.documents import read_dictionary, read_documents, read_pag
 from lakeweir.sources.sinks import (
     append_log,
     latest_entries,
+    landing_rows,
     materialize,
+    read_landing,
     replace_partitions,
     replace_snapshot,
     split_quarantine,
@@ -15,16 +17,21 @@ from lakeweir.sources.sinks import (
     write_documents,
     write_report_jdbc,
 )
+from lakeweir.sources.versions import ConcurrentWriteError, read_table
 
 __all__ = [
     "Catalog",
+    "ConcurrentWriteError",
     "Dataset",
     "append_log",
+    "landing_rows",
     "latest_entries",
     "materialize",
     "read_dictionary",
     "read_documents",
+    "read_landing",
     "read_pages",
+    "read_table",
     "replace_partitions",
     "replace_snapshot",
     "split_quarantine",

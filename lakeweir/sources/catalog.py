@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
+from lakeweir.sources.versions import read_table
+
 
 @dataclass(frozen=True)
 class Dataset:
@@ -14,7 +16,7 @@ class Dataset:
 
     ``layout`` is one of
 
-    * ``snapshot``: Parquet files at ``location``, no partition columns;
+    * ``snapshot``: Parquet files at ``location``, no partition columns, as of its newest commit if it has any;
     * ``partitioned``: Hive-style folders by ``partition_by``, exposed as columns and prunable;
     * ``table``: a catalog table or view called ``location``;
     * ``jdbc``: a database table, read in ``options['numPartitions']`` ranges of
@@ -53,7 +55,4 @@ class Catalog:
             names = schema.fieldNames()
             if dataset.partition_by.name not in names:
                 schema = StructType([*schema.fields, dataset.partition_by])
-        reader = self.spark.read.options(**dataset.options)
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(dataset.location)
+        return read_table(self.spark, dataset.location, schema, **dataset.options)

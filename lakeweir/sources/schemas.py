@@ -12,11 +12,18 @@ from pyspark.sql.types import StructType
 
 @dataclass(frozen=True)
 class Table:
-    """Columns as DDL, natural key, and the columns a repeated key updates (None: all others)."""
+    """Columns as DDL, natural key, and the columns a repeated key updates (None: all others).
+
+    ``guards`` hold conditions, as SQL, under which a row may update a column. A landing table with
+    ``row_id`` also has ``id``, which follows from the key, and ``created_at``, which later rows of the
+    key leave alone.
+    """
 
     ddl: str
     key: tuple[str, ...] = ()
     updates: tuple[str, ...] | None = None
+    guards: tuple[tuple[str, str], ...] = ()
+    row_id: bool = False
 
     @property
     def columns(self) -> list[str]:
@@ -26,6 +33,11 @@ class Table:
     def schema(self) -> StructType:
         return StructType.fromDDL(self.ddl)
 
+    @property
+    def landing_schema(self) -> StructType:
+        """The table as it is stored."""
+        return StructType.fromDDL(f"id bigint, {self.ddl}, created_at timestamp_ntz") if self.row_id else self.schema
+
     def updated_columns(self) -> list[str]:
         if self.updates is not None:
             return list(self.updates)
@@ -53,48 +65,59 @@ LANDING: dict[str, Table] = {
             "department_name", "end_time", "color_id", "color_name",
             "color_level", "color_hex", "extracted_at",
         ),
+        row_id=True,
     ),
     "store_alerts": Table(
         "gie_name string, department_code string, department_name string, phenomenon_name string, "
         "begin_time timestamp_ntz, end_time timestamp_ntz, alert_level string, color_hex string, "
         f"{_STAMPS}",
         ("gie_name", "phenomenon_name", "begin_time", "extraction_date"),
+        row_id=True,
     ),
     "alert_metadata": Table(
-        "type string, code string, name string, level int, hex_code string", ("type", "code")
+        "type string, code string, name string, level int, hex_code string",
+        ("type", "code"),
+        # A phenomenon has neither level nor color of its own.
+        guards=(("level", "type <> 'phenomenon'"), ("hex_code", "type <> 'phenomenon'")),
     ),
     "commune_profiles": Table(
         "insee_code string, commune string, code_postal string, department_code string, "
         f"department_name string, region string, {INDICATORS}, {_STAMPS}",
         ("insee_code", "extraction_date"),
         ("commune", *_INDICATOR_NAMES, "extracted_at"),
+        row_id=True,
     ),
     "store_risks": Table(
         "gie_name string, insee_code string, commune string, postal_code string, "
         f"department_code string, department_name string, region string, {INDICATORS}, {_STAMPS}",
         ("gie_name", "extraction_date"),
         ("insee_code", "commune", *_INDICATOR_NAMES, "extracted_at"),
+        row_id=True,
     ),
     "risk_details": Table(
         "insee_code string, risk_category string, risk_key string, risk_libelle string, "
         "present boolean, statut_commune string, statut_adresse string, severity_label string, "
         f"severity_score int, {_STAMPS}",
         ("insee_code", "risk_key", "extraction_date"),
+        row_id=True,
     ),
     "books": Table(
         "upc string, title string, price double, price_incl_tax double, tax double, "
         "availability string, stock_count int, star_rating int, category string, "
         f"description string, image_url string, product_url string, {_STAMPS}",
         ("upc", "extraction_date"),
+        row_id=True,
     ),
     "quotes": Table(
         f"quote_hash string, text string, author_name string, author_slug string, tags string, {_STAMPS}",
         ("quote_hash", "extraction_date"),
+        row_id=True,
     ),
     "authors": Table(
         "slug string, name string, born_date string, born_location string, description string, "
         f"{_STAMPS}",
         ("slug", "extraction_date"),
+        row_id=True,
     ),
     "run_metrics": Table(
         "source string, dag_id string, run_date date, items_extracted bigint, items_loaded bigint, "

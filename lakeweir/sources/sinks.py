@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,55 +13,19 @@ from pyspark.sql.types import StructType
 from lakeweir.functions.times import date_parts
 from lakeweir.operators.upsert import upsert
 from lakeweir.session import working_path
+from lakeweir.sources import versions
 from lakeweir.sources.documents import path_exists
 from lakeweir.sources.schemas import LANDING
 
 
-def _rename(spark: SparkSession, old: str, new: str) -> None:
-    jvm = spark._jvm
-    source = jvm.org.apache.hadoop.fs.Path(old)
-    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.rename(source, jvm.org.apache.hadoop.fs.Path(new)):
-        raise OSError(f"cannot rename {old} to {new}")
-
-
-def _drop(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def replace_snapshot(df: DataFrame, path: str) -> None:
-    """Replace the Parquet snapshot at ``path``. ``df`` may read ``path``.
-
-    The new files are complete before the old ones go: write beside, rename twice, drop the old.
-    """
-    spark = df.sparkSession
-    path = path.rstrip("/")
-    fresh, stale = f"{path}.__new", f"{path}.__old"
-    df.write.mode("overwrite").parquet(fresh)
-    if path_exists(spark, path):
-        if path_exists(spark, stale):
-            _drop(spark, stale)
-        _rename(spark, path, stale)
-    _rename(spark, fresh, path)
-    if path_exists(spark, stale):
-        _drop(spark, stale)
+    """Replace the Parquet snapshot at ``path``, whole or not at all. ``df`` may read ``path``."""
+    versions.commit(df, path)
 
 
 def replace_partitions(df: DataFrame, path: str, by: str | Sequence[str]) -> None:
-    """Overwrite only the partitions present in ``df``; all others stay as they are.
-
-    The rebalance hint gathers each partition's rows into few files, and lets adaptive execution
-    split a partition that holds most of the rows over several tasks.
-    """
-    by = [by] if isinstance(by, str) else list(by)
-    (
-        df.hint("rebalance", *by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    """Replace only the partitions present in ``df``, all of them or none; all others stay as they are."""
+    versions.commit(df, path, [by] if isinstance(by, str) else list(by))
 
 
 def upsert_table(
@@ -72,47 +38,78 @@ def upsert_table(
     partition_by: str | None = None,
     newest_by: str | None = "extracted_at",
     strict: bool = False,
+    stamps: Sequence[str] = (),
+    guards: Mapping[str, Column] | None = None,
+    ledger: Mapping[str, int] | None = None,
 ) -> None:
-    """Upsert ``batch`` into the Parquet table at ``path``.
+    """Upsert ``batch`` into the Parquet table at ``path``, whole or not at all.
 
     With ``partition_by`` (part of the key) only the partitions named in the batch are read and
-    rewritten. The merged rows go to the shared folder first, because Spark cannot overwrite what
-    it is reading; that copy also cuts the lineage and survives lost executors.
+    rewritten; the batch is then written once to the shared folder, so that what it is derived from
+    runs once for its partitions and its rows.
     """
     spark = batch.sparkSession
     if partition_by is not None and partition_by not in keys:
         raise ValueError("the partition column has to be part of the key")
-    if not path_exists(spark, path):
-        target = spark.createDataFrame([], schema)
-    else:
-        target = spark.read.schema(schema).parquet(path)
-        if partition_by is not None:
-            # Partition values are few (one folder each), so they fit the driver.
-            touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
-            hit = F.col(partition_by).isin([t for t in touched if t is not None])
-            if None in touched:
-                hit = hit | F.col(partition_by).isNull()
-            target = target.where(hit)
-    merged = upsert(target, batch, keys, update_columns, newest_by=newest_by, strict=strict)
-    if partition_by is None:
-        replace_snapshot(merged, path)
-        return
-    staged = working_path(spark, "upsert")
-    merged.write.parquet(staged)
-    replace_partitions(spark.read.schema(merged.schema).parquet(staged), path, partition_by)
-    _drop(spark, staged)
-
-
-def upsert_landing(batch: DataFrame, base: str, name: str, *, strict: bool = False) -> None:
+    base = versions.begin(spark, path)
+    target, by, own = _stored(spark, path, schema), [], None
+    if partition_by is not None:
+        by, own = [partition_by], working_path(spark, "upsert")
+        batch.write.parquet(own)
+        batch = spark.read.schema(batch.schema).parquet(own)
+        # Partition values are few (one folder each), so they fit the driver.
+        touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
+        hit = F.col(partition_by).isin([t for t in touched if t is not None])
+        target = target.where(hit | F.col(partition_by).isNull() if None in touched else hit)
+    merged = upsert(target, batch, keys, update_columns, newest_by=newest_by, strict=strict, stamps=stamps, guards=guards)
+    versions.commit(merged, path, by, base=base, ledger=ledger)
+    if own is not None:
+        versions.remove(spark, own)
+
+
+def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return versions.read_table(spark, path, schema) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+
+LANDING_STAMPS = ("id", "extracted_at", "created_at")
+
+
+def landing_rows(batch: DataFrame, name: str, created_at: Column | None = None) -> DataFrame:
+    """Rows as the landing table ``name`` stores them.
+
+    ``id`` is a hash of the natural key, NULLs marked, and of all columns but the stamps where the
+    key has a NULL, so a rerun gives the same ids. ``created_at`` defaults to the time of extraction.
+    """
+    table = LANDING[name]
+    if not table.row_id:
+        return batch.select(*table.columns)
+    key = [part for k in table.key for part in (F.col(k), F.col(k).isNull())]
+    partial = reduce(or_, [F.col(k).isNull() for k in table.key])
+    others = [c for c in table.columns if c not in table.key and c not in LANDING_STAMPS]
+    number = F.when(partial, F.xxhash64(*key, *others)).otherwise(F.xxhash64(*key))
+    stamp = F.col("extracted_at") if created_at is None else created_at
+    return batch.select(number.alias("id"), *table.columns, stamp.alias("created_at"))
+
+
+def upsert_landing(
+    batch: DataFrame, base: str, name: str, *, strict: bool = False, created_at: Column | None = None,
+    ledger: Mapping[str, int] | None = None,
+) -> None:
     """Upsert into the landing table ``name`` below ``base`` by its own key and updated columns."""
     table = LANDING[name]
     dated = "extraction_date" if "extraction_date" in table.key else None
     upsert_table(
-        batch.select(*table.columns), f"{base}/{name}", table.schema, table.key, table.updated_columns(),
-        partition_by=dated, strict=strict,
+        landing_rows(batch, name, created_at), f"{base}/{name}", table.landing_schema, table.key, table.updated_columns(),
+        partition_by=dated, strict=strict, stamps=LANDING_STAMPS, guards={c: F.expr(sql) for c, sql in table.guards},
+        ledger=ledger,
     )
 
 
+def read_landing(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """The landing table ``name`` below ``base``, empty if nothing has been landed."""
+    return _stored(spark, f"{base}/{name}", LANDING[name].landing_schema)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back, for rows that several outputs need."""
     path = working_path(df.sparkSession, label)
@@ -169,7 +166,7 @@ def split_quarantine(
     rows = spark.read.schema(flagged.schema).parquet(staged)
     replace_snapshot(rows.where(F.col(helpers[0])), quarantine_path)
     replace_snapshot(rows.where(~F.col(helpers[0])).drop(*helpers), clean_path)
-    _drop(spark, staged)
+    versions.remove(spark, staged)
 
 
 def write_report_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
@@ -189,6 +186,6 @@ def materialize(df: DataFrame, name: str, kind: str = "view", **incremental) ->
         df.write.mode("overwrite").saveAsTable(name)
     elif kind == "incremental":
         upsert_table(df, schema=df.schema, **incremental)
-        spark.read.schema(df.schema).parquet(incremental["path"]).createOrReplaceTempView(name)
+        versions.read_table(spark, incremental["path"], df.schema).createOrReplaceTempView(name)
     else:
         raise ValueError(f"{name}: kind {kind!r}")

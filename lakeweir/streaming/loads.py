@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
+from lakeweir.sources import versions
 from lakeweir.sources.sinks import upsert_table
 
 
@@ -35,13 +36,21 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Start a query that upserts every micro-batch into the Parquet table at ``path``.
 
-    A batch that is run again after a failure leaves the same table, since the upsert of the same
-    rows changes nothing. The query ends when all files that are there have been read.
+    The table's commits hold a ledger: the newest batch of every stream, by its checkpoint, written
+    with the rows of that batch. A batch that the stream runs again, because it stopped before its
+    own checkpoint, is found there and left out, so that it cannot undo what others wrote since.
+    The query ends when all files that are there have been read.
     """
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        committed, _ = versions.begin(batch.sparkSession, path)
+        if committed is not None and committed.ledger.get(checkpoint, -1) >= batch_id:
+            return
         rows = prepare(batch) if prepare else batch
-        upsert_table(rows, path, rows.schema, keys, update_columns, partition_by=partition_by, newest_by=newest_by)
+        upsert_table(
+            rows, path, rows.schema, keys, update_columns, partition_by=partition_by, newest_by=newest_by,
+            ledger={checkpoint: batch_id},
+        )
 
     return (
         stream.writeStream.foreachBatch(merge)
