@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 WORD = r"[^\x20\x09-\x0D]+"
-BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 SINGLE = 2
 # Kinds of octets: white space or not; and white space, letters with all beyond ASCII, digits, others.
@@ -33,14 +36,41 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return frame.select(*columns) if columns else frame
 
 
-def batch_rows(spark: SparkSession, rows: int = 1000) -> None:
-    """Rows that a Python worker gets at once, unless the submit line sets them.
+ROWS = 1000
 
-    Long texts, and sets made of them, stand in a worker as often as its steps copy them; so operators
-    whose work ends with a row take few at once.
+
+def map_frames(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], ddl: str,
+               rows: int = ROWS) -> DataFrame:
+    """``df.mapInPandas(run, ddl)`` with whole numbers as they are, NULLs among them, and ``rows`` rows at once.
+
+    A column of numbers with a NULL would come as floating point, which loses digits of ids beyond
+    2**53. Long texts, and sets made of them, stand in a worker as often as its steps copy them, so
+    few rows are turned into pandas at once, whatever the session's batches are.
     """
-    if not spark.sparkContext.getConf().contains(BATCH_ROWS):
-        spark.conf.set(BATCH_ROWS, str(rows))
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices = (
+            batch.slice(begin, rows).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+            for batch in batches
+            for begin in range(0, batch.num_rows, rows)
+        )
+        for frame in run(slices):
+            yield pa.RecordBatch.from_pandas(frame, schema=schema, preserve_index=False)
+
+    return df.mapInArrow(work, ddl)
+
+
+def by_text(texts: Column, decide: Callable[[], Callable[[list], np.ndarray]], kind: str, rows: int = ROWS) -> Column:
+    """What the function that ``decide`` makes once per task gives for each text, ``rows`` texts at once."""
+
+    def work(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        run = decide()
+        for batch in batches:
+            parts = [run(batch.slice(begin, rows).to_pylist()) for begin in range(0, len(batch), rows)]
+            yield pa.array(np.concatenate(parts) if parts else np.zeros(0))
+
+    return F.arrow_udf(work, kind)(texts)
 
 
 def fold(doc_id: Column, modulus: int) -> Column:

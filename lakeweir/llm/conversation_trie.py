@@ -14,7 +14,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.common import batch_rows
 from lakeweir.sources.sinks import staged
 
 FAMILY = 5
@@ -373,7 +372,6 @@ def conversation_trie(conversations: DataFrame, largest: int = LARGEST) -> DataF
     read. An empty table has no node. A conversation's digests, 32 characters a turn, are one row;
     no task holds all conversations of a node.
     """
-    batch_rows(conversations.sparkSession, 1000)
     cut = staged(cut_at_prefixes(staged(distinct_sequences(rebuilt(conversations)), "trie-sequences"), largest), "trie-cut")
     lower = staged(shard_nodes(cut), "trie-nodes")
     tops = lower.where(F.col("prefix").isNotNull())

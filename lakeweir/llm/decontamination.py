@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.common import U, Words, batch_rows, grams_of, pieces, plain, text_pieces, words_of
+from lakeweir.llm.common import U, Words, by_text, grams_of, map_frames, pieces, plain, text_pieces, words_of
 
 GRAM = 2  # words of a seed
 SHORT = 3  # items of up to so many words have single words as seeds
@@ -209,12 +209,11 @@ def matches_of(docs: DataFrame, matcher: Matcher) -> DataFrame:
             rows = [(ids[k], *match) for k, found in matcher.search(plain(batch["text"])) for match in found]
             yield pd.DataFrame(rows, columns=names)
 
-    return docs.select("doc_id", "text").mapInPandas(find, MATCHES)
+    return map_frames(docs.select("doc_id", "text"), find, MATCHES)
 
 
 def blocks(benchmark: DataFrame) -> Iterator[list[Item]]:
     """The benchmark in blocks of about BLOCK items, cut by a hash of the item. Equal rows count once."""
-    batch_rows(benchmark.sparkSession)
     rows = benchmark.select("item_id", "text").where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).distinct()
     n = max(1, -(-rows.count() // BLOCK))
     for k in range(n):
@@ -248,15 +247,10 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float
     for items in blocks(benchmark):
         matcher = Matcher(items, threshold)
 
-        def clean(matcher=matcher):
-            @F.pandas_udf("boolean")
-            def check(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-                for series in batches:
-                    out = np.ones(len(series), dtype=bool)
-                    out[[k for k, _ in matcher.search(plain(series))]] = False
-                    yield pd.Series(out)
+        def clean(texts: list, matcher=matcher) -> np.ndarray:
+            out = np.ones(len(texts), dtype=bool)
+            out[[k for k, _ in matcher.search(texts)]] = False
+            return out
 
-            return check
-
-        docs = docs.where(clean()(F.col("text")))
+        docs = docs.where(by_text(F.col("text"), lambda clean=clean: clean, "boolean"))
     return docs

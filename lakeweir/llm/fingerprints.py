@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.common import U, batch_rows, mix, powers
+from lakeweir.llm.common import U, mix, powers
 
 SHINGLE = 16
 FRACTION = 32
@@ -204,7 +204,6 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     Texts are shuffled once, by ranges of the id, so that neighbours meet in one task; a range with
     most of the rows of one id is cut by the texts' hashes.
     """
-    batch_rows(docs.sparkSession, 500)
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = in_ranges(docs, ranges)
     together = dealt.repartitionById(ranges, F.col("part")).sortWithinPartitions("part", "follows", "key")

@@ -25,6 +25,13 @@ def sample_labels(labels: DataFrame, label: str, fold: Column, held_out: int, pe
     return parts[0].unionByName(parts[1])
 
 
+def one_per_id(picked: DataFrame) -> DataFrame:
+    """One row per doc_id of (doc_id, text, label), that with the smallest hash of the text, so that rows
+    that repeat an id do not exceed the sample's bound."""
+    first = F.min(F.struct(F.xxhash64("text"), "text")).alias("first")
+    return picked.groupBy("doc_id").agg(first, F.max("label").alias("label")).select("doc_id", "first.text", "label")
+
+
 def balanced(labels: np.ndarray) -> np.ndarray:
     """Weights of rows by which both classes count alike."""
     counts = {c: max(1, int((labels == c).sum())) for c in (0, 1)}

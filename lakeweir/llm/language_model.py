@@ -22,14 +22,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.common import U, Words, batch_rows, fold_of, mix, pieces, plain, text_pieces, words_of
+from lakeweir.llm.common import U, Words, fold_of, map_frames, mix, pieces, plain, text_pieces, words_of
 from lakeweir.llm.elias_fano import Codes, EliasFano, Trie
 
 FOLDS, HELD_OUT = 7, 2
 PRIOR = 2000.0
-SHARD_TOKENS = 5_000_000  # tokens of a shard, about; a word with more is dealt out by its contexts
+SHARD_TOKENS = 2_500_000  # tokens of a shard, about; a word with more is dealt out by its contexts
 BLOCK_CHARS = 4_000_000  # characters of the texts that are sent to the shards together
 BLOCK_TEXTS = 30_000
+BLOCK_ROWS = 2_500
 END = mix(np.array([0x656E64], dtype=U))[0]  # the end of a text as a word
 TRAIN = np.uint16(1 << 15)  # mark of a training text on its number in the block
 
@@ -86,7 +87,7 @@ def count_words(docs: DataFrame, heavy_from: int = SHARD_TOKENS) -> Totals:
             word, n = merged(words, counts)
             yield pd.DataFrame({"word": word.view(np.int64), "n": n})
 
-    rows = docs.select("doc_id", "text").mapInPandas(counted, "word long, n long")
+    rows = map_frames(docs.select("doc_id", "text"), counted, "word long, n long")
     big = F.when(F.col("n") > heavy_from, F.struct("word", "n"))
     total = rows.groupBy("word").agg(F.sum("n").alias("n")).agg(
         F.sum("n").alias("tokens"), F.count("*").alias("types"), F.collect_list(big).alias("heavy")
@@ -184,7 +185,8 @@ def blocks(docs: DataFrame, totals: Totals) -> DataFrame:
                     yield pd.DataFrame(rows, columns=["block", "shard", "load", "texts"])
                     number += 1
 
-    return docs.select("doc_id", "text").mapInPandas(cut, "block long, shard long, load binary, texts binary")
+    # A block is cut from the rows that come at once.
+    return map_frames(docs.select("doc_id", "text"), cut, "block long, shard long, load binary, texts binary", BLOCK_ROWS)
 
 
 def build_trie(parts: list[Load], totals: Totals) -> tuple[Trie, np.ndarray]:
@@ -257,7 +259,6 @@ def score_texts(docs: DataFrame, totals: Totals | None = None) -> DataFrame:
     training fold; repeated rows are texts of their own; an empty table gives an empty result;
     without training texts every token is unknown.
     """
-    batch_rows(docs.sparkSession, 10_000)  # a block is cut from one batch
     totals = totals or count_words(docs)
 
     def answer(group: pd.DataFrame) -> pd.DataFrame:

@@ -10,9 +10,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.common import U, batch_rows, grams_of, mix, plain, text_pieces, words_of
+from lakeweir.llm.common import U, grams_of, map_frames, mix, plain, text_pieces, words_of
 from lakeweir.sources.sinks import staged
 
+FEW = 128  # rows at once, as two full sets of the longest texts stand in each row of a check
 SHINGLE = 5
 SIMILARITY = 75  # per cent of the union
 COORDINATES = 64
@@ -70,8 +71,8 @@ def described(docs: DataFrame) -> DataFrame:
                     "n_shingles": [len(s) for s in sets], "key": keys, "signature": signs,
                 })
 
-    return docs.select("doc_id", "text").mapInPandas(
-        describe, "doc_id long, n_shingles long, key binary, signature array<int>"
+    return map_frames(
+        docs.select("doc_id", "text"), describe, "doc_id long, n_shingles long, key binary, signature array<int>", FEW
     )
 
 
@@ -126,24 +127,24 @@ def sets_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
                 "node": batch["node"][own], "shingles": [s.tobytes() for s, mine in zip(found, own) if mine],
             })
 
-    return staged(texts.mapInPandas(make, "node long, shingles binary").dropDuplicates(["node"]), "near-sets")
+    return staged(map_frames(texts, make, "node long, shingles binary", FEW).dropDuplicates(["node"]), "near-sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The candidate pairs whose full shingle sets are similar enough."""
 
-    @F.pandas_udf("boolean")
-    def linked(first: pd.Series, second: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(first, second):
-            x, y = np.frombuffer(x, U), np.frombuffer(y, U)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(100 * both >= SIMILARITY * (len(x) + len(y) - both))
-        return pd.Series(out, dtype=bool)
+    def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for x, y in zip(batch["set_a"], batch["set_b"]):
+                x, y = np.frombuffer(x, U), np.frombuffer(y, U)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                out.append(100 * both >= SIMILARITY * (len(x) + len(y) - both))
+            yield batch[["a", "b"]][np.array(out, dtype=bool)]
 
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    return pairs.join(left, "a").join(right, "b").where(linked("set_a", "set_b")).select("a", "b")
+    return map_frames(pairs.join(left, "a").join(right, "b"), linked, "a long, b long", FEW)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -206,7 +207,7 @@ def shingle_pairs(found: DataFrame, sets: DataFrame) -> DataFrame:
             for node, data in zip(batch["node"], batch["shingles"]):
                 yield pd.DataFrame({"node": node, "shingle": np.frombuffer(data, np.int64)})
 
-    every = staged(sets.mapInPandas(spread, "node long, shingle long"), "near-shingles")
+    every = staged(map_frames(sets, spread, "node long, shingle long", FEW), "near-shingles")
     shared = every.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
     ordered = every.join(shared, "shingle").groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("tokens")
@@ -242,7 +243,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nothing, has no component and is kept. Rows that repeat an id are one group: kept holds for
     each of them. An empty table gives an empty result.
     """
-    batch_rows(docs.sparkSession, 128)  # two full sets of the longest texts stand in each row of a check
     rows = staged(described(docs), "near-rows")
     sets = rows.where("key is not null and doc_id is not null").groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")

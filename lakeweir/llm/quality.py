@@ -10,8 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.common import fold, fold_of, pieces
-from lakeweir.llm.labelled import balanced, sample_labels
+from lakeweir.llm.common import fold, fold_of, map_frames, pieces
+from lakeweir.llm.labelled import balanced, one_per_id, sample_labels
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
@@ -182,11 +182,12 @@ def score_texts(net: Network, texts) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Network:
     """Fit on at most ``per_class`` rows of each class outside the held-out fold, none over LONGEST octets.
 
-    The sampled ids (bounded, so broadcast) select the texts in one scan. Equal texts count once.
+    The sampled ids (bounded, so broadcast) select the texts in one scan, one per id. Equal texts
+    count once.
     """
     sample = sample_labels(labels, "quality", fold(F.col("doc_id"), FOLDS), HELD_OUT, per_class)
     picked = docs.select("doc_id", "text").where(F.octet_length("text") <= LONGEST)
-    got = picked.join(F.broadcast(sample), "doc_id").collect()
+    got = one_per_id(picked.join(F.broadcast(sample), "doc_id")).collect()
     unique = {(r["text"], r["label"]): r for r in sorted(got, key=lambda r: r["doc_id"])}
     rows = sorted(unique.values(), key=lambda r: r["doc_id"])
     return fit([octets(r["text"]) for r in rows], np.array([r["label"] for r in rows], dtype=float))
@@ -211,6 +212,6 @@ def score_quality(docs: DataFrame, net: Network) -> DataFrame:
                 "predicted": (score >= THRESHOLD).astype(np.int32),
             })
 
-    return docs.select("doc_id", "text").mapInPandas(
-        scored, "doc_id long, held_out boolean, score double, predicted int"
+    return map_frames(
+        docs.select("doc_id", "text"), scored, "doc_id long, held_out boolean, score double, predicted int"
     )

@@ -12,6 +12,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from lakeweir.llm.common import map_frames
+
 # The base patterns with the least length of the part that counts.
 ASSIGN = re.compile(
     r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII
@@ -21,15 +23,24 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LEAST = 6
 
 # Candidates of the structural kinds. A run of either alphabet is decoded whole.
-ARMOR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END \1PRIVATE KEY-----")
+# Lines of an armored key may end in a backslash and n, as in JSON, and begin with headers.
+ARMOR = re.compile(
+    r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----((?:(?:\\r|\\n|\s)+[A-Za-z][A-Za-z-]*:[^\n\\]*)*)"
+    r"((?:[A-Za-z0-9+/=\s]|\\r|\\n)+)-----END \1PRIVATE KEY-----"
+)
 BLOB = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_BLOB = re.compile(r"[0-9A-Fa-f]{64,}")
-SIGNED = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+# Parts with dots between them. It begins at a run's first character only, so that long runs are read once.
+DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*)+")
+HEADER_LEAST, CLAIMS_LEAST = 8, 2
 
 KINDS = ("assign", "access", "hex", "key_der", "key_ssh", "token_signed")
 
 # Octets of a signature by algorithm; for the others a least length.
-EXACT_SIGNATURE = {"HS256": 32, "HS384": 48, "HS512": 64, "ES256": 64, "ES384": 96, "ES512": 132, "EdDSA": 64}
+EXACT_SIGNATURE = {
+    "HS256": (32,), "HS384": (48,), "HS512": (64,), "ES256": (64,), "ES256K": (64,), "ES384": (96,), "ES512": (132,),
+    "EdDSA": (64, 114),
+}
 LEAST_SIGNATURE = {"RS256": 128, "RS384": 128, "RS512": 128, "PS256": 128, "PS384": 128, "PS512": 128}
 
 SSH_MAGIC = b"openssh-key-v1\0"
@@ -110,6 +121,47 @@ def is_ssh_key(data: bytes) -> bool:
     return strings >= 5
 
 
+def armored_kind(headers: str, body: str) -> int | None:
+    """Kind of an armored key: its body is a key's encoding, or by its headers an encrypted one in whole cipher blocks."""
+    data = unbase64(body.replace("\\n", "\n").replace("\\r", "\r"))
+    if not data:
+        return None
+    if "Proc-Type:" in headers and "ENCRYPTED" in headers and "DEK-Info:" in headers:
+        return 3 if len(data) >= 64 and len(data) % 8 == 0 else None
+    return key_kind(data)
+
+
+def key_kind(data: bytes) -> int | None:
+    """Kind of the key that the octets encode, also as an armored text, or None."""
+    if data.startswith(b"-----BEGIN "):
+        whole = ARMOR.match(data.decode("latin-1"))
+        return armored_kind(whole[2], whole[3]) if whole else None
+    return 3 if is_der_key(data) else 4 if is_ssh_key(data) else None
+
+
+def signed_spans(text: str) -> list[tuple[int, int, int]]:
+    """Spans of three neighbouring parts that make a signed token; a part is tried as header once."""
+    found = []
+    for run in DOTTED.finditer(text):
+        parts, at, starts = run[0].split("."), run.start(), []
+        for part in parts:
+            starts.append(at)
+            at += len(part) + 1
+        k = 0
+        while k + 2 < len(parts):
+            head, claims, signature = parts[k : k + 3]
+            # The first eight characters of a header decode to white space and an opening brace.
+            if (
+                len(head) >= HEADER_LEAST and len(claims) >= CLAIMS_LEAST
+                and (unbase64(head[:8]) or b"").lstrip()[:1] in (b"{", b"")
+                and is_signed_token(f"{head}.{claims}.{signature}")
+            ):
+                found.append((starts[k], 5, starts[k + 2] + len(signature)))
+                k += 2
+            k += 1
+    return found
+
+
 def is_signed_token(text: str) -> bool:
     """Three parts: a JSON header that names a known algorithm, JSON claims, a signature that long."""
     head, claims, signature = text.split(".")
@@ -123,7 +175,7 @@ def is_signed_token(text: str) -> bool:
     if not isinstance(name, str) or octets is None:
         return False
     if name in EXACT_SIGNATURE:
-        return len(octets) == EXACT_SIGNATURE[name]
+        return len(octets) in EXACT_SIGNATURE[name]
     return len(octets) >= LEAST_SIGNATURE.get(name, 1 << 62)
 
 
@@ -141,23 +193,22 @@ def structural_spans(text: str) -> list[tuple[int, int, int]]:
     found, armored = set(), []
     if "PRIVATE KEY-----" in text:
         for m in ARMOR.finditer(text):
-            data = unbase64(m[2])
-            if data and (kind := 3 if is_der_key(data) else 4 if is_ssh_key(data) else None):
+            if kind := armored_kind(m[2], m[3]):
                 found.add((m.start(), kind, m.end()))
                 armored.append(m.span())
     for m in BLOB.finditer(text):
         if any(a <= m.start() < b for a, b in armored):
             continue
         data = unbase64(m[0])
-        if data and (kind := 3 if is_der_key(data) else 4 if is_ssh_key(data) else None):
+        if data and (kind := key_kind(data)):
             found.add((m.start(), kind, m.end()))
     for m in HEX_BLOB.finditer(text):
         if len(m[0]) % 2 == 0:
             data = bytes.fromhex(m[0])
-            if kind := 3 if is_der_key(data) else 4 if is_ssh_key(data) else None:
+            if kind := key_kind(data):
                 found.add((m.start(), kind, m.end()))
     if "." in text:
-        found |= {(m.start(), 5, m.end()) for m in SIGNED.finditer(text) if is_signed_token(m[0])}
+        found.update(signed_spans(text))
     return sorted(found)
 
 
@@ -190,6 +241,6 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
             frame = pd.DataFrame(out, columns=["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_confirmed"])
             yield pd.concat([batch[["doc_id"]].reset_index(drop=True), frame], axis=1)
 
-    return docs.select("doc_id", "text").mapInPandas(
-        scan, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_confirmed long"
+    return map_frames(
+        docs.select("doc_id", "text"), scan, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_confirmed long"
     )

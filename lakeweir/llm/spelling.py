@@ -10,7 +10,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.common import batch_rows
 from lakeweir.sources.sinks import staged
 
 SHORTEST = 6
@@ -267,7 +266,6 @@ def spelling_variants(docs: DataFrame, largest: int = LARGEST) -> DataFrame:
     one, repeated rows count as often as they stand, other columns are not read. Near words of
     equal count are taken in code-point order. An empty table gives an empty result.
     """
-    batch_rows(docs.sparkSession, 10_000)
     words = staged(vocabulary(docs), "spelling-words")
     near = near_words(words, largest)
     alone = words.select("word", F.lit(0).cast("long").alias("n_near"), F.col("n").alias("near_n"), F.lit(None).cast("string").alias("near"))

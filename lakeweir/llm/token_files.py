@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeweir.llm.common import BY_CLASS, U, WORD, hashed_runs, pieces, plain
+from lakeweir.llm.common import BY_CLASS, U, WORD, hashed_runs, map_frames, pieces, plain
 from lakeweir.session import working_path
 
 BLOCK = 256  # ids of a block
@@ -234,41 +234,36 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str) -> None:
     """Write the ids of all documents to ``path``, in ascending order of doc_id, null ids first.
 
     Documents are sorted by ranges of the id; each task encodes its range and writes segments of
-    about SEGMENT characters. Parquet holds the segments, one per row with part, number and count
-    of ids, so that any store and the usual commit of task output serve.
+    about SEGMENT characters. Parquet holds the segments, one per row with its part, the number of
+    ids before it in the part and its own, so that any store and the usual commit of task output serve.
     """
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer, part, number = tokenizer_of(vocabulary), TaskContext.get().partitionId(), 0
+        tokenizer, part, before = tokenizer_of(vocabulary), TaskContext.get().partitionId(), 0
         for batch in batches:
             ids = [None if pd.isna(i) else int(i) for i in batch["doc_id"]]
             texts = plain(batch["text"])
             for begin, end in pieces([len(t or "") for t in texts], SEGMENT):
                 tokens, lengths = tokenizer.encode(texts[begin:end])
-                row = (part, number, len(tokens), write_segment(ids[begin:end], lengths, tokens))
-                yield pd.DataFrame([row], columns=["part", "number", "n_ids", "content"])
-                number += 1
+                row = (part, before, len(tokens), write_segment(ids[begin:end], lengths, tokens))
+                yield pd.DataFrame([row], columns=["part", "before", "n_ids", "content"])
+                before += len(tokens)
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    segments = ordered.mapInPandas(encode, "part int, number long, n_ids long, content binary")
+    segments = map_frames(ordered, encode, "part int, before long, n_ids long, content binary")
     segments.write.mode("overwrite").parquet(path)
 
 
 def read_token_files(spark, path: str) -> DataFrame:
     """One row per document of the files at ``path``: doc_id, start, n_tokens, ids_crc32.
 
-    Starts follow from the counts of the segments: summed per part, then over the parts.
+    Segments know how many ids come before them in their part; the ids of earlier parts are added
+    from a row per part, of which there are as many as the sort had partitions, so it is broadcast.
     """
     segments = spark.read.parquet(path)
-    counts = segments.select("part", "number", "n_ids")
-    parts = counts.groupBy("part").agg(F.sum("n_ids").alias("ids"))
+    parts = segments.groupBy("part").agg(F.sum("n_ids").alias("ids"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select(F.col("part").alias("of"), F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("offset"))
-    before = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.withColumn("before", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
-    starts = placed.join(parts, F.col("part") == F.col("of")).select(
-        F.col("part").alias("of"), F.col("number").alias("at"), (F.col("before") + F.col("offset")).alias("start")
-    )
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -283,9 +278,10 @@ def read_token_files(spark, path: str) -> DataFrame:
                     "ids_crc32": [zlib.crc32(octets[4 * (e - n) : 4 * e]) for e, n in zip(ends, lengths.astype(np.int64))],
                 })
 
-    on = (F.col("part") == F.col("of")) & (F.col("number") == F.col("at"))
-    return segments.join(starts, on).select("start", "content").mapInPandas(
-        decode, "doc_id long, start long, n_tokens long, ids_crc32 long"
+    placed = segments.join(F.broadcast(parts), F.col("part") == F.col("of"))
+    return map_frames(
+        placed.select((F.col("before") + F.col("offset")).alias("start"), "content"), decode,
+        "doc_id long, start long, n_tokens long, ids_crc32 long", 16,
     )
 
 

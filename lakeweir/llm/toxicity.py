@@ -11,8 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.common import BY_TERM, U, batch_rows, fold, fold_of, plain, text_pieces, words_of
-from lakeweir.llm.labelled import balanced, sample_labels
+from lakeweir.llm.common import BY_TERM, U, by_text, fold, fold_of, map_frames, plain, text_pieces, words_of
+from lakeweir.llm.labelled import balanced, one_per_id, sample_labels
 
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
@@ -110,10 +110,12 @@ def fit(terms: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, rate:
     bias = float(np.log((positive + 0.5) / (negative + 0.5)))
     rows = np.array([float((labels == c).sum()) for c in (0, 1)])
     if rows.min() > 0:
-        found = np.stack([np.bincount(np.concatenate([t for t, y in zip(terms, labels) if y == c]),
-                                      minlength=1 << BUCKET_BITS) for c in (0, 1)])
-        chosen = np.flatnonzero(found.sum(axis=0) >= SUPPORT)
-        found = found[:, chosen].astype(float)
+        # Rows of each class per bucket, added up row by row: a row holds a bucket once.
+        found = np.zeros((2, 1 << BUCKET_BITS), np.uint16)
+        for row, label in zip(terms, labels):
+            found[int(label), row] += np.uint16(1)
+        chosen = np.flatnonzero(found[0] + found[1] >= SUPPORT)
+        found = found[:, chosen].astype(np.float32)
     size = len(chosen)
     dice = np.random.default_rng(7)
     model = Model(chosen, bias, np.zeros(size, np.float32), np.zeros((size, RANK), np.float32))
@@ -121,9 +123,14 @@ def fit(terms: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, rate:
         return model
     features = known(model.place(), terms)
     linear_decay = decay + doubt / (1 + evidence(found, rows) ** 4 / 100)
-    shrink = np.concatenate([[0.0], linear_decay, np.full(size * RANK, factor_decay)])
-    value = np.concatenate([[bias], np.zeros(size), dice.normal(0, 0.02, size * RANK)])
-    state = [np.zeros(len(value)) for _ in range(2)]
+    linear_decay = linear_decay.astype(np.float32)
+    # The bias, linear weights, factors. All state is single precision and changed in place, as the
+    # driver holds it: a weight takes 20 octets with its gradient and moments.
+    value = np.zeros(1 + size * (1 + RANK), np.float32)
+    value[0] = bias
+    value[1 + size :] = dice.normal(0, 0.02, size * RANK)
+    first, second, gradient, spare = (np.zeros_like(value) for _ in range(4))
+    del found
     batches = -(-len(features) // BATCH)
     last = max(STEPS, PASSES * batches)
     for step in range(last):
@@ -136,18 +143,27 @@ def fit(terms: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, rate:
         held, sums = [], []
         for factor in value[1 + size :].reshape(RANK, size):
             held.append(factor[flat])
-            sums.append(np.bincount(row, held[-1], len(own)))
+            sums.append(np.bincount(row, held[-1], len(own)).astype(np.float32))
             margin += 0.5 * (sums[-1] ** 2 - np.bincount(row, held[-1] ** 2, len(own)))
         gap = weights[own] * (sigmoid(margin) - labels[own]) / len(own)
-        gradient = [np.array([gap.sum()]), np.bincount(flat, gap[row], size)]
-        gradient += [np.bincount(flat, gap[row] * (total[row] - v), size) for v, total in zip(held, sums)]
-        gradient = np.concatenate(gradient) + shrink * value
-        state[0] = 0.9 * state[0] + 0.1 * gradient
-        state[1] = 0.99 * state[1] + 0.01 * gradient**2
-        scale = np.sqrt(state[1] / (1 - 0.99 ** (step + 1))) + 1e-4
-        value = value - rate * (1 - step / last) * (state[0] / (1 - 0.9 ** (step + 1))) / scale
+        gradient[0] = gap.sum()
+        gradient[1 : 1 + size] = np.bincount(flat, gap[row], size)
+        for k, (v, total) in enumerate(zip(held, sums)):
+            gradient[1 + size * (1 + k) :][:size] = np.bincount(flat, gap[row] * (total[row] - v), size)
+        np.multiply(value, factor_decay, out=spare)
+        spare[0] = 0
+        np.multiply(value[1 : 1 + size], linear_decay, out=spare[1 : 1 + size])
+        gradient += spare
+        first += np.float32(0.1) * (np.subtract(gradient, first, out=spare))
+        np.square(gradient, out=gradient)
+        second += np.float32(0.01) * (np.subtract(gradient, second, out=spare))
+        np.sqrt(np.divide(second, 1 - 0.99 ** (step + 1), out=spare), out=spare)
+        spare += np.float32(1e-4)
+        np.divide(first, spare, out=spare)
+        spare *= np.float32(rate * (1 - step / last) / (1 - 0.9 ** (step + 1)))
+        value -= spare
     factors = value[1 + size :].reshape(RANK, size).T
-    return Model(chosen, float(value[0]), value[1 : 1 + size].astype(np.float32), factors.astype(np.float32))
+    return Model(chosen, float(value[0]), value[1 : 1 + size].copy(), np.ascontiguousarray(factors))
 
 
 def score_texts(model: Model, texts, place: np.ndarray | None = None) -> np.ndarray:
@@ -158,12 +174,12 @@ def score_texts(model: Model, texts, place: np.ndarray | None = None) -> np.ndar
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """Fit on at most ``per_class`` rows of each class outside the held-out fold.
 
-    The sampled ids (bounded, so broadcast) select the texts in one scan; hashed terms of the
-    sample reach the driver. Equal texts count once, so a group of copies weighs as one.
+    The sampled ids (bounded, so broadcast) select the texts in one scan, one per id; hashed terms
+    of the sample reach the driver. Equal texts count once, so a group of copies weighs as one. Terms
+    of one sampled row alone (SUPPORT) have no weight.
     """
-    batch_rows(docs.sparkSession)
     sample = sample_labels(labels, "toxic", fold(F.col("doc_id"), FOLDS), HELD_OUT, per_class)
-    picked = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(sample), "doc_id")
+    picked = one_per_id(docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(sample), "doc_id"))
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -171,7 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
                 terms = [t.tobytes() for t in terms_of(batch["text"].tolist())]
                 yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "terms": terms})
 
-    got = picked.mapInPandas(hashed, "doc_id long, label int, terms binary").collect()
+    got = map_frames(picked, hashed, "doc_id long, label int, terms binary").collect()
     unique = {(hashlib.sha256(r["terms"]).digest(), r["label"]): r for r in sorted(got, key=lambda r: r["doc_id"])}
     rows = sorted(unique.values(), key=lambda r: r["doc_id"])
     y = np.array([r["label"] for r in rows], dtype=float)
@@ -198,18 +214,16 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
                 "predicted": (score >= THRESHOLD).astype(np.int32),
             })
 
-    return docs.select("doc_id", "text").mapInPandas(
-        scored, "doc_id long, held_out boolean, score double, predicted int"
+    return map_frames(
+        docs.select("doc_id", "text"), scored, "doc_id long, held_out boolean, score double, predicted int"
     )
 
 
 def keep_harmless(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs``, all columns, whose whole text scores below the threshold."""
 
-    @F.pandas_udf("double")
-    def toxicity(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scorer():
         place = model.place()
-        for texts in batches:
-            yield pd.Series(score_texts(model, plain(texts), place))
+        return lambda texts: score_texts(model, texts, place)
 
-    return docs.where(toxicity(F.col("text")) < THRESHOLD)
+    return docs.where(by_text(F.col("text"), scorer, "double") < THRESHOLD)
