@@ -6,7 +6,7 @@ aggregate each, which combines before its shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from fnmatch import fnmatch
 from functools import reduce
@@ -226,45 +226,93 @@ class Test:
     severity: str = "warn"
 
 
-def _violations(test: Test) -> Column:
+def _broken(test: Test) -> Column:
+    """Whether a row breaks a test that looks at one row."""
     c = F.col(test.column)
     if test.kind == "not_null":
-        broken = c.isNull()
-    elif test.kind == "accepted_range":
+        return c.isNull()
+    if test.kind == "accepted_range":
         sides = []
         if test.low is not None:
             sides.append(c < test.low)
         if test.high is not None:
             sides.append(c > test.high)
-        broken = reduce(lambda a, b: a | b, sides)
-    elif test.kind == "accepted_values":
-        broken = ~c.isin(*test.values)
-    else:
-        raise ValueError(test.kind)
-    if test.where:
-        broken = broken & F.expr(test.where)
-    return F.count_if(broken)
+        return reduce(lambda a, b: a | b, sides)
+    if test.kind == "accepted_values":
+        return ~c.isin(*test.values)
+    raise ValueError(test.kind)
 
 
-def run_column_tests(df: DataFrame, tests: Sequence[Test]) -> DataFrame:
-    """One row per test: (column_name, test, failures, status)."""
+@dataclass(frozen=True)
+class Reference:
+    """Every non-NULL ``column`` of ``model`` has to be a ``parent_column`` of ``parent``."""
 
-    def entry(test: Test, failures: Column) -> Column:
-        return F.struct(
-            F.lit(test.column).alias("column_name"),
-            F.lit(test.kind).alias("test"),
-            failures.alias("failures"),
-            F.when(failures == 0, "pass").otherwise(test.severity).alias("status"),
-        )
+    model: str
+    column: str
+    parent: str
+    parent_column: str
+    severity: str = "warn"
 
-    parts = []
-    plain = [t for t in tests if t.kind != "unique"]
-    if plain:
-        row = df.agg(*[_violations(t).alias(f"v{i}") for i, t in enumerate(plain)])
-        parts.append(row.select(F.inline(F.array(*[entry(t, F.col(f"v{i}")) for i, t in enumerate(plain)]))))
-    for test in tests:
-        if test.kind == "unique":
-            scoped = df.where(test.where) if test.where else df
-            row = duplicate_keys(scoped, [test.column]).agg(F.count("*").alias("v"))
-            parts.append(row.select(F.inline(F.array(entry(test, F.col("v"))))))
-    return reduce(DataFrame.unionByName, parts)
+
+def run_model_tests(
+    models: Mapping[str, DataFrame], tests: Mapping[str, Sequence[Test]], references: Sequence[Reference] = ()
+) -> DataFrame:
+    """One row per test of every model: (model, column_name, test, failures, status).
+
+    Each model is derived once. A row becomes the (test, key) pairs it has a part in: a key per
+    uniqueness test and per side of a reference, and a pair without key for each test it breaks.
+    All pairs of all models are counted by one aggregate per key and then by one per test. The
+    first combines before its shuffle, so a key that most rows share costs a row per task, and
+    broken rows cost one row per task and test.
+    """
+    described, stacked = [], []
+
+    def describe(model: str, column: str, kind: str, severity: str) -> int:
+        described.append(F.struct(
+            F.lit(len(described)).alias("__test"), F.lit(model).alias("model"), F.lit(column).alias("column_name"),
+            F.lit(kind).alias("test"), F.lit(severity).alias("severity"),
+        ))
+        return len(described) - 1
+
+    def pair(number: int, when: Column, key: Column, parent: bool = False) -> Column:
+        return F.when(when, F.struct(F.lit(number).alias("__test"), key.cast("string").alias("__key"), F.lit(parent).alias("__parent")))
+
+    links = [(r, describe(r.model, r.column, "relationship", r.severity)) for r in references]
+    unique = set()
+    for name, df in models.items():
+        pairs = []
+        for test in tests.get(name, ()):
+            number = describe(name, test.column, test.kind, test.severity)
+            scope, c = F.expr(test.where) if test.where else F.lit(True), F.col(test.column)
+            if test.kind == "unique":
+                unique.add(number)
+                pairs.append(pair(number, scope & c.isNotNull(), c))
+            else:
+                pairs.append(pair(number, scope & _broken(test), F.lit(None)))
+        for link, number in links:
+            if link.model == name:
+                pairs.append(pair(number, F.col(link.column).isNotNull(), F.col(link.column)))
+            if link.parent == name:
+                pairs.append(pair(number, F.col(link.parent_column).isNotNull(), F.col(link.parent_column), True))
+        if pairs:
+            stacked.append(df.select(F.inline(F.filter(F.array(*pairs), lambda p: p.isNotNull()))))
+    linked = {number for _, number in links}
+    keyed = reduce(DataFrame.unionByName, stacked).groupBy("__test", "__key").agg(
+        F.count_if(~F.col("__parent")).alias("__rows"), F.bool_or("__parent").alias("__held")
+    )
+    number, n = F.col("__test"), F.col("__rows")
+    failures = (
+        F.when(number.isin([*unique, -1]), (n > 1).cast("long")).when(number.isin([*linked, -1]), F.when(F.col("__held"), 0).otherwise(n)).otherwise(n)
+    )
+    counted = keyed.groupBy("__test").agg(F.sum(failures).alias("__failures"))
+    spark = stacked[0].sparkSession
+    every = spark.range(1).select(F.inline(F.array(*described)))
+    total = F.coalesce("__failures", F.lit(0).cast("long"))
+    return every.join(counted, "__test", "left").select(
+        "model", "column_name", "test", total.alias("failures"), F.when(total == 0, "pass").otherwise(F.col("severity")).alias("status")
+    )
+
+
+def run_column_tests(df: DataFrame, tests: Sequence[Test]) -> DataFrame:
+    """One row per test of one frame: (column_name, test, failures, status)."""
+    return run_model_tests({"": df}, {"": tests}).drop("model")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeweir.operators.checks import Check, Test
+from lakeweir.operators.checks import Check, Reference, Test
 
 HOUR, DAY = 3600, 86400
 
@@ -130,6 +130,16 @@ def _range(column: str, low: float | None = None, high: float | None = None) ->
     return Test(column, "accepted_range", low=low, high=high)
 
 
+# Facts and reports by the dimension that has to hold their keys.
+REFERENCES = [
+    Reference("fct_quotes", "author_key", "dim_authors", "author_key"),
+    Reference("fct_quotes", "quote_hash", "stg_quotes", "quote_hash"),
+    Reference("dim_books", "upc", "stg_books", "upc"),
+    Reference("dim_communes", "insee_code", "stg_commune_profiles", "insee_code"),
+    Reference("stg_risk_details", "insee_code", "stg_commune_profiles", "insee_code"),
+    Reference("rpt_risk_summary", "department_code", "fct_alerts", "department_code"),
+]
+
 COLUMN_TESTS: dict[str, list[Test]] = {
     "stg_alerts": [
         *_key("alert_row_id"), *_filled("department_code", "phenomenon_name", "extraction_date"),

@@ -63,10 +63,11 @@ def extraction_history(profiles: DataFrame) -> DataFrame:
     )
 
 
-def dim_communes(profiles: DataFrame, details: DataFrame) -> DataFrame:
+def dim_communes(profiles: DataFrame, details: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """Communes of the newest extraction, with the list of their present risks and their history.
 
-    Only the newest date is read in full; the history reads the key and the date. Profiles are
+    Only the newest date is read in full. ``history`` is the columns of ``extraction_history`` from a
+    state that is kept (plans/history.py); without it the key and date of all profiles are read. Profiles are
     keyed by (insee_code, extraction_date) and details by (insee_code, risk_key, extraction_date),
     so a commune's list is as long as there are risk keys.
     """
@@ -84,7 +85,7 @@ def dim_communes(profiles: DataFrame, details: DataFrame) -> DataFrame:
     wide = (
         profiles.where(F.col("extraction_date") == newest)
         .join(listed, "insee_code", "left")
-        .join(extraction_history(profiles), "insee_code", "left")
+        .join(extraction_history(profiles) if history is None else history, "insee_code", "left")
     )
     columns = [
         "commune", "code_postal", "department_code", "department_name", "region", "naturels_count",

@@ -7,8 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeweir.operators.checks import CheckFailure, check_schema
 from lakeweir.operators.health import enforce_mart_gate, mart_gate
 from lakeweir.plans import marts, staging
+from lakeweir.plans.contracts import REQUIRED_COLUMNS
+from lakeweir.plans.history import extraction_history, refresh_history
 from lakeweir.plans.incremental import refresh_alert_facts
 from lakeweir.sources.catalog import Catalog, Dataset
 from lakeweir.sources.sinks import replace_partitions, replace_snapshot
@@ -32,6 +35,17 @@ def build_staging(landing: Catalog | Mapping[str, DataFrame], *, latest_only: bo
     }
 
 
+def enforce_required(tables: Mapping[str, DataFrame]) -> None:
+    """Raise if a landing table lacks a column that its contract requires; only the plans are looked at."""
+    broken = [
+        f"{name}: {column} is {rule}"
+        for name, df in tables.items()
+        for rule, column, _ in check_schema(df, required=REQUIRED_COLUMNS.get(name, ()))
+    ]
+    if broken:
+        raise CheckFailure("; ".join(broken))
+
+
 def export_staging(spark: SparkSession, views: Mapping[str, DataFrame], base: str) -> Catalog:
     """Snapshot the staging views; dated ones by partition, the others whole."""
     catalog = Catalog(spark)
@@ -67,6 +81,7 @@ def refresh(
     ``max_data_age_days`` (default MAX_DATA_AGE). Dimensions that several marts read are written
     once and read back.
     """
+    enforce_required({name: landing[name] for name in REQUIRED_COLUMNS})
     views = export_staging(spark, build_staging(landing, latest_only=latest_only), f"{base}/landing")
 
     def table(name: str, df: DataFrame) -> DataFrame:
@@ -77,7 +92,8 @@ def refresh(
     facts = f"{base}/marts/fct_alerts"
     refresh_alert_facts(spark, views["stg_alerts"], facts, lookback_days)
     alerts = read_table(spark, facts, marts.fct_alerts(views["stg_alerts"]).schema)
-    communes = table("dim_communes", marts.dim_communes(views["stg_commune_profiles"], views["stg_risk_details"]))
+    history = extraction_history(refresh_history(spark, views["stg_commune_profiles"], f"{base}/state/commune_history"))
+    communes = table("dim_communes", marts.dim_communes(views["stg_commune_profiles"], views["stg_risk_details"], history))
     books = table("dim_books", marts.dim_books(views["stg_books"]))
     authors = table("dim_authors", marts.dim_authors(views["stg_quotes"]))
     quotes = table("fct_quotes", marts.fct_quotes(views["stg_quotes"]))

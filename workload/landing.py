@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeweir.plans import ingest as jobs
-from lakeweir.plans import marts, refresh, staging
+from lakeweir.plans import history, marts, refresh, staging
 from lakeweir.session import working_path
 from lakeweir.sources import sinks
 from lakeweir.sources.schemas import LANDING
 from lakeweir.sources.versions import read_table
+from lakeweir.streaming import dedup_with_late_rows, late_rows, stream_files
 from workload import ingest, models
 from workload.registry import SQL, query
 from workload.tables import ALERTS, AUTHORS, BOOKS, DETAILS, METRICS, PROFILES, QUOTES, Tables
@@ -306,3 +307,58 @@ def refreshed_values(t: Tables) -> DataFrame:
         report("rpt_quote_stats", F.concat("author_name", F.coalesce("author_born_date", F.lit(""))), "quote_count", "avg_quote_length"),
         report("rpt_risk_summary", F.col("department_code"), "active_alert_count", "avg_risks_per_commune"),
     ])
+
+
+# State that each extraction is merged into, instead of reading all dates again.
+
+
+def _state(t: Tables) -> DataFrame:
+    """History after three runs: the first years, all years, and all years again."""
+    path, profiles = working_path(t.spark, "history"), staging.stg_commune_profiles(t.commune_profiles)
+    for rows in (profiles.where("extraction_date < DATE '1996-01-01'"), profiles, profiles):
+        state = history.refresh_history(t.spark, rows, path)
+    return history.extraction_history(state)
+
+
+@query(SQL["extraction_history"])
+def extraction_history_state(t: Tables) -> DataFrame:
+    return _state(t)
+
+
+@query(SQL["dim_communes"])
+def dim_communes_state(t: Tables) -> DataFrame:
+    profiles, details = staging.stg_commune_profiles(t.commune_profiles), staging.stg_risk_details(t.risk_details)
+    return marts.dim_communes(profiles, details, _state(t))
+
+
+# A stream of ten files, three days each; every tenth event arrives two files late. The watermark
+# follows the newest event by a day. One event per user, type and day stays.
+
+_LAST_FILE, _DELAY_HOURS = 9, 24
+
+
+@query(
+    f"""WITH arrived AS (
+      SELECT *, CAST(ts AS DATE) AS day, least({_LAST_FILE}, (day(ts) - 1) // 3 + CASE WHEN event_id % 10 = 0 THEN 2 ELSE 0 END) AS file
+      FROM events),
+    marks AS (
+      SELECT file + 1 AS file, max(max(ts)) OVER (ORDER BY file) - INTERVAL {_DELAY_HOURS} HOUR AS mark FROM arrived GROUP BY file),
+    judged AS (SELECT a.*, coalesce(a.ts < m.mark, false) AS is_late, m.mark FROM arrived a LEFT JOIN marks m USING (file))
+    SELECT event_id, ts, user_id, event_type, value, props, day, CAST(NULL AS BIGINT) AS late_micros FROM judged WHERE NOT is_late
+    QUALIFY row_number() OVER (PARTITION BY user_id, event_type, day ORDER BY ts, event_id, value, props) = 1
+    UNION ALL SELECT event_id, ts, user_id, event_type, value, props, day, epoch_us(mark) - epoch_us(ts) FROM judged WHERE is_late"""
+)
+def stream_late_rows(t: Tables) -> DataFrame:
+    """Kept rows and late rows of a stream, with all their columns."""
+    folder, kept, late, state = (working_path(t.spark, f"late-{n}") for n in ("in", "kept", "rows", "state"))
+    file = F.least(F.lit(_LAST_FILE), F.floor((F.day("ts") - 1) / 3) + F.when(F.col("event_id") % 10 == 0, 2).otherwise(0))
+    events = t.events.withColumn("day", F.to_date("ts"))
+    for number in range(_LAST_FILE + 1):
+        events.where(file == number).coalesce(1).write.mode("append").parquet(folder)
+    stream = stream_files(t.spark, folder, events.schema, files_per_batch=1)
+    dedup_with_late_rows(
+        stream, kept, late, state, ["user_id", "event_type", "day"], "ts", _DELAY_HOURS * 3600, partition_by="day", order=["event_id"],
+    ).awaitTermination()
+    columns = [*events.columns]
+    found = late_rows(t.spark, late, events.schema).select(*columns, "late_micros")
+    return read_table(t.spark, kept, events.schema).withColumn("late_micros", F.lit(None).cast("long")).unionByName(found)

@@ -7,9 +7,19 @@ from pyspark.sql import functions as F
 
 from lakeweir.operators import anomaly, checks, contracts, density, health
 from lakeweir.plans import marts, staging
-from lakeweir.plans.contracts import COLUMN_TESTS, TABLE_CHECKS
-from workload.models import DIM_BOOKS, FCT_ALERTS, STG_DETAILS, STG_PROFILES, STG_QUOTES
-from workload.registry import query
+from lakeweir.plans.contracts import COLUMN_TESTS, REFERENCES, TABLE_CHECKS
+from workload import models
+from workload.models import (
+    DIM_AUTHORS,
+    DIM_BOOKS,
+    DIM_COMMUNES,
+    FCT_ALERTS,
+    FCT_QUOTES,
+    STG_DETAILS,
+    STG_PROFILES,
+    STG_QUOTES,
+)
+from workload.registry import SQL, query
 from workload.tables import ALERTS, AUTHORS, BOOKS, DETAILS, METRICS, PROFILES, QUOTES, Tables, spread
 
 BOOK = contracts.CONTRACTS["book"]
@@ -374,7 +384,7 @@ _TESTED = [
 )
 def column_tests(t: Tables) -> DataFrame:
     alerts, books = staging.stg_alerts(t.alerts), staging.stg_books(t.books)
-    models = {
+    tested = {
         "stg_alerts": alerts,
         "fct_alerts": marts.fct_alerts(alerts),
         "stg_commune_profiles": staging.stg_commune_profiles(t.commune_profiles),
@@ -383,11 +393,44 @@ def column_tests(t: Tables) -> DataFrame:
         "dim_books": marts.dim_books(books),
         "stg_quotes": staging.stg_quotes(t.quotes, t.authors),
     }
-    merged = None
-    for name, df in models.items():
-        result = checks.run_column_tests(df, COLUMN_TESTS[name]).withColumn("model", F.lit(name))
-        merged = result if merged is None else merged.unionByName(result)
-    return merged
+    return checks.run_model_tests(tested, COLUMN_TESTS)
+
+
+_ALL_MODELS = [*_TESTED, ("dim_communes", "dim_communes"), ("dim_authors", "dim_authors"), ("fct_quotes", "fct_quotes"),
+               ("rpt_risk_summary", "rpt_risk_summary"), ("rpt_book_stats", "rpt_book_stats"), ("rpt_quote_stats", "rpt_quote_stats")]
+_TABLE_OF = dict(_ALL_MODELS)
+
+
+def _reference_sql(r: checks.Reference) -> str:
+    child, parent = _TABLE_OF[r.model], _TABLE_OF[r.parent]
+    return (
+        f"SELECT '{r.model}' AS model, '{r.column}' AS column_name, 'relationship' AS test, n AS failures, "
+        f"CASE WHEN n = 0 THEN 'pass' ELSE 'warn' END AS status FROM (SELECT count(*) FROM {child} "
+        f"WHERE {r.column} IS NOT NULL AND {r.column} NOT IN (SELECT {r.parent_column} FROM {parent} WHERE {r.parent_column} IS NOT NULL)) s(n)"
+    )
+
+
+_REPORTS = {"rpt_risk_summary": "risk_summary", "rpt_book_stats": "book_stats", "rpt_quote_stats": "quote_stats"}
+
+
+@query(
+    f"WITH {FCT_ALERTS}, {DIM_COMMUNES}, {DIM_BOOKS}, {DIM_AUTHORS}, {FCT_QUOTES}, "
+    + ", ".join(f"{name} AS ({SQL[report]})" for name, report in _REPORTS.items())
+    + " " + " UNION ALL ".join([s for name, table in _ALL_MODELS for s in _test_sql(table, name)] + [_reference_sql(r) for r in REFERENCES])
+)
+def model_tests(t: Tables) -> DataFrame:
+    """All column tests and references of all models, each model derived once."""
+    alerts, books = staging.stg_alerts(t.alerts), staging.stg_books(t.books)
+    profiles, details = staging.stg_commune_profiles(t.commune_profiles), staging.stg_risk_details(t.risk_details)
+    quotes = staging.stg_quotes(t.quotes, t.authors)
+    facts, dim_books, fct_quotes = marts.fct_alerts(alerts), marts.dim_books(books), marts.fct_quotes(quotes)
+    communes, authors = marts.dim_communes(profiles, details), models._authors(t)
+    return checks.run_model_tests({
+        "stg_alerts": alerts, "stg_commune_profiles": profiles, "stg_risk_details": details, "stg_books": books,
+        "stg_quotes": quotes, "fct_alerts": facts, "dim_communes": communes, "dim_books": dim_books, "dim_authors": authors,
+        "fct_quotes": fct_quotes, "rpt_risk_summary": marts.rpt_risk_summary(facts, communes),
+        "rpt_book_stats": marts.rpt_book_stats(dim_books), "rpt_quote_stats": marts.rpt_quote_stats(authors, fct_quotes),
+    }, COLUMN_TESTS, REFERENCES)
 
 
 @query(
