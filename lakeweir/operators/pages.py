@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from itertools import islice
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -37,88 +39,135 @@ from lakeweir.operators.snapshot import keep_first
 BOOKS_SITE = "https://books.toscrape.com"
 
 
-def _extract(pages: DataFrame, pick: Callable[[Element], list[tuple]], ddl: str, carry: list[str]) -> DataFrame:
-    """Rows of ``pick`` per page: carried columns, position in the page, picked fields, error text."""
+class Pick(NamedTuple):
+    """Where a field comes from: the first element of each step within the one before, and what of it.
+
+    A step is (tag), (tag, class), or (tag, class, attributes); a tag that begins with + is a sibling
+    that follows. ``take`` is ``text``, ``texts`` (of all elements of the last step, as JSON), an
+    attribute after @, ``cell`` (of the table row labelled so) or a number (that element of the
+    last step, as text).
+    """
+
+    steps: tuple[tuple, ...]
+    take: str | int = "text"
+    label: str = ""
+
+
+class Record(NamedTuple):
+    """Records of a page: one per element of ``each`` (None: the page), if all ``needs`` are found and not empty."""
+
+    each: tuple | None
+    fields: dict[str, Pick]
+    needs: tuple[str, ...] = ()
+
+    @property
+    def ddl(self) -> str:
+        return ", ".join(f"{name} string" for name in self.fields)
+
+
+# Where the pages hold what, as tag, class and attribute.
+_ROWS = (("table", "table-striped"), ("tr",))
+LISTING = Record(("article", "product_pod"), {
+    "href": Pick((("h3",), ("a",)), "@href"), "title": Pick((("h3",), ("a",)), "@title"), "link": Pick((("h3",), ("a",)), "tag"),
+}, ("link",))
+BOOK = Record(None, {
+    "upc": Pick(_ROWS, "cell", "UPC"), "title": Pick((("h1",),)), "excl": Pick(_ROWS, "cell", "Price (excl. tax)"),
+    "incl": Pick(_ROWS, "cell", "Price (incl. tax)"), "tax_text": Pick(_ROWS, "cell", "Tax"),
+    "stock": Pick(_ROWS, "cell", "Availability"), "rating": Pick((("p", "star-rating"),), "@class"),
+    "category": Pick((("ul", "breadcrumb"), ("li",)), 2),
+    "description": Pick((("div", None, {"id": "product_description"}), ("+p",))),
+    "src": Pick((("div", "item active"), ("img",)), "@src"),
+}, ("upc",))
+QUOTE = Record(("div", "quote"), {
+    "raw": Pick((("span", "text"),)), "author_name": Pick((("small", "author"),)),
+    "href": Pick((("a", None, {"href": re.compile("/author/")}),), "@href"), "tags": Pick((("a", "tag"),), "texts"),
+    "quoted": Pick((("span", "text"),), "tag"), "signed": Pick((("small", "author"),), "tag"),
+}, ("quoted", "signed"))
+AUTHOR = Record(None, {
+    "title": Pick((("h3", "author-title"),)), "born_date": Pick((("span", "author-born-date"),)),
+    "place": Pick((("span", "author-born-location"),)), "about": Pick((("div", "author-description"),)),
+})
+
+
+def _matching(element: Element, step: tuple) -> Iterator[Element]:
+    tag, css, attributes = (*step, None, None)[:3]
+    if tag.startswith("+"):
+        sibling = element.next_sibling(tag[1:])
+        return iter(() if sibling is None else (sibling,))
+    found = element.all(tag, css)
+    if not attributes:
+        return found
+    return (e for e in found if all(_fits(wanted, e.attrs.get(name, "")) for name, wanted in attributes.items()))
+
+
+def _fits(wanted: str | re.Pattern, value: str) -> bool:
+    return wanted == value if isinstance(wanted, str) else bool(wanted.search(value))
+
+
+def _value(start: Element, pick: Pick) -> str | None:
+    """What ``pick`` names below ``start``, None if it is not there."""
+    at: Element | None = start
+    for step in pick.steps[:-1]:
+        at = next(_matching(at, step), None)
+        if at is None:
+            return None
+    last = _matching(at, pick.steps[-1])
+    if pick.take == "texts":
+        return json.dumps([e.text() for e in last], ensure_ascii=False)
+    if pick.take == "cell":
+        # Of rows with the same label the last counts.
+        pairs = ((row.first("th"), row.first("td")) for row in last)
+        return {head.text(): cell.text() for head, cell in pairs if head and cell}.get(pick.label)
+    element = next(islice(last, pick.take if isinstance(pick.take, int) else 0, None), None)
+    if element is None:
+        return None
+    if pick.take == "tag":
+        return element.tag
+    return element.attrs.get(pick.take[1:]) if str(pick.take).startswith("@") else element.text()
+
+
+def _picked(page: Element, record: Record) -> list[tuple]:
+    rows = []
+    for start in _matching(page, record.each) if record.each else (page,):
+        row = {name: _value(start, pick) for name, pick in record.fields.items()}
+        if all(row[name] for name in record.needs):
+            rows.append(tuple(row.values()))
+    return rows
+
+
+def _extract(pages: DataFrame, record: Record, carry: list[str]) -> DataFrame:
+    """Rows of ``record`` per page: carried columns, position in the page, picked fields, error text."""
     carried = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in carry)
-    names = [part.split()[0] for part in ddl.split(", ")]
-    columns = [*carry, "position", *names, "parse_error"]
+    columns = [*carry, "position", *record.fields, "parse_error"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for html, *kept in batch[["html", *carry]].itertuples(index=False, name=None):
                 try:
-                    picked = [(*kept, i, *fields, None) for i, fields in enumerate(pick(parse_html(html)))]
+                    rows += [(*kept, i, *fields, None) for i, fields in enumerate(_picked(parse_html(html), record))]
                 except (AttributeError, ValueError, TypeError) as error:
-                    picked = [(*kept, 0, *[None] * len(names), str(error))]
-                rows += picked
+                    rows.append((*kept, 0, *[None] * len(record.fields), str(error)))
             yield pd.DataFrame(rows, columns=columns)
 
-    return pages.select("html", *carry).mapInPandas(run, f"{carried}, position int, {ddl}, parse_error string")
+    return pages.select("html", *carry).mapInPandas(run, f"{carried}, position int, {record.ddl}, parse_error string")
 
 
 def _settle(rows: DataFrame, errors: bool) -> DataFrame:
     return rows if errors else rows.where(F.col("parse_error").isNull()).drop("parse_error")
 
 
-def _text(element: Element | None, default: str | None = None) -> str | None:
-    return default if element is None else element.text()
-
-
-def _pick_listing(page: Element) -> list[tuple]:
-    links = []
-    for article in page.all("article", "product_pod"):
-        heading = article.first("h3")
-        link = heading.first("a") if heading else None
-        if link is not None:
-            links.append((link.attrs.get("href", ""), link.attrs.get("title", "")))
-    return links
-
-
 def listing_links(
     pages: DataFrame, site: str = BOOKS_SITE, *, carry: Sequence[str] = (), errors: bool = False
 ) -> DataFrame:
     """(page_url, position, url, title) of every product on listing pages (url, html), and ``carry`` columns."""
     marked = pages.where(F.col("html").contains("product_pod"))
-    rows = _extract(marked, _pick_listing, "href string, title string", ["url", *carry])
+    rows = _extract(marked, LISTING, ["url", *carry]).withColumns({c: F.coalesce(c, F.lit("")) for c in ("href", "title")})
     links = rows.withColumnRenamed("url", "page_url").withColumn("url", absolute_url(F.col("href"), site))
     kept = ["page_url", "position", "url", "title", *carry, "parse_error"]
     return _settle(links.select(*kept), errors)
 
 
-def _pick_book(page: Element) -> list[tuple]:
-    table = page.first("table", "table-striped")
-    info = {}
-    for row in table.all("tr") if table else ():
-        head, cell = row.first("th"), row.first("td")
-        if head is not None and cell is not None:
-            info[head.text()] = cell.text()
-    if not info.get("UPC"):
-        return []
-    stars = page.first("p", "star-rating")
-    word = next((c for c in stars.classes if c.lower() in RATING_WORDS), None) if stars else None
-    trail = page.first("ul", "breadcrumb")
-    crumbs = list(trail.all("li")) if trail else []
-    heading = page.first("div", id="product_description")
-    paragraph = heading.next_sibling("p") if heading else None
-    slide = page.first("div", "item active")
-    image = slide.first("img") if slide else None
-    return [
-        (
-            info["UPC"],
-            _text(page.first("h1"), ""),
-            info.get("Price (excl. tax)", ""),
-            info.get("Price (incl. tax)", ""),
-            info.get("Tax", ""),
-            info.get("Availability", ""),
-            word,
-            crumbs[2].text() if len(crumbs) >= 3 else None,
-            _text(paragraph),
-            image.attrs.get("src", "") if image else None,
-        )
-    ]
-
-
 def shortened(name: str, value: Column, cut: Mapping[str, int] | None) -> Column:
     """``value`` under ``name``, cut where the caller asks for it."""
     return (truncate(value, cut[name]) if cut and name in cut else value).alias(name)
@@ -134,9 +183,10 @@ def book_records(
     ``cut`` names columns with the length to cut them at; without it texts stay whole.
     """
     marked = pages.where(F.col("html").contains("table-striped"))
-    raw = "upc string, title string, excl string, incl string, tax_text string, stock string, word string, " \
-          "category string, description string, src string"
-    rows = _extract(marked, _pick_book, raw, ["url"])
+    rows = _extract(marked, BOOK, ["url"])
+    rows = rows.withColumns({c: F.coalesce(c, F.lit("")) for c in ("title", "excl", "incl", "tax_text", "stock")})
+    words = F.split("rating", r"\s+")
+    word = F.get(F.filter(words, lambda w: F.lower(w).isin(*RATING_WORDS)), F.lit(0))
     price = {name: F.regexp_extract(text, r"[\d.]+", 0) for name, text in [("price", "excl"), ("price_incl_tax", "incl"), ("tax", "tax_text")]}
     unreadable = F.lit(False)
     for text in price.values():
@@ -147,7 +197,7 @@ def book_records(
         *[first_number(F.col(c)).alias(name) for name, c in [("price", "excl"), ("price_incl_tax", "incl"), ("tax", "tax_text")]],
         shortened("availability", F.col("stock"), cut),
         captured_int(F.col("stock"), r"\((\d+) available\)").alias("stock_count"),
-        word_rating(F.col("word")).alias("star_rating"),
+        word_rating(word).alias("star_rating"),
         "category",
         shortened("description", F.col("description"), cut),
         F.concat(F.lit(f"{site}/"), strip_parent_steps(F.col("src"))).alias("image_url"),
@@ -159,20 +209,6 @@ def book_records(
     return _settle(records, errors)
 
 
-def _pick_quotes(page: Element) -> list[tuple]:
-    quotes = []
-    for block in page.all("div", "quote"):
-        text, author = block.first("span", "text"), block.first("small", "author")
-        if text is None or author is None:
-            continue
-        link = next((a for a in block.all("a") if re.search("/author/", a.attrs.get("href", ""))), None)
-        tags = [a.text() for a in block.all("a", "tag")]
-        quotes.append(
-            (text.text(), author.text(), link.attrs["href"] if link else None, json.dumps(tags, ensure_ascii=False))
-        )
-    return quotes
-
-
 def quote_records(
     pages: DataFrame, extracted_at: Column, *, carry: Sequence[str] = (), errors: bool = False
 ) -> DataFrame:
@@ -181,7 +217,7 @@ def quote_records(
     The slug comes from the author link, else from the name.
     """
     marked = pages.where(F.col("html").contains("quote"))
-    rows = _extract(marked, _pick_quotes, "raw string, author_name string, href string, tags string", ["url", *carry])
+    rows = _extract(marked, QUOTE, ["url", *carry])
     text = strip_curly_quotes(F.col("raw"))
     from_name = F.nullif(slug_from_name(F.col("author_name")), F.lit(""))
     records = rows.select(
@@ -200,22 +236,11 @@ def quote_records(
     return _settle(records, errors)
 
 
-def _pick_author(page: Element) -> list[tuple]:
-    return [
-        (
-            _text(page.first("h3", "author-title")),
-            _text(page.first("span", "author-born-date")),
-            _text(page.first("span", "author-born-location")),
-            _text(page.first("div", "author-description")),
-        )
-    ]
-
-
 def author_records(
     pages: DataFrame, extracted_at: Column, *, errors: bool = False, cut: Mapping[str, int] | None = None
 ) -> DataFrame:
     """One author per page (slug, html). ``cut`` names columns with the length to cut them at."""
-    rows = _extract(pages, _pick_author, "title string, born_date string, place string, about string", ["slug"])
+    rows = _extract(pages, AUTHOR, ["slug"])
     place = cut_lead_in(F.col("place"))
     records = rows.select(
         "slug",
@@ -230,22 +255,34 @@ def author_records(
     return _settle(records, errors)
 
 
-def land_books(listings: DataFrame, details: DataFrame, extracted_at: Column) -> DataFrame:
+def land_books(listings: DataFrame, details: DataFrame, extracted_at: Column, *, errors: bool = False) -> DataFrame:
     """Listing and detail pages to unique books: the first link per address, the first record per UPC.
 
-    ``listings`` has a page number ``page_no``; listing order decides which record is first.
+    ``listings`` has a page number ``page_no``; listing order decides which record is first. With
+    ``errors`` detail pages that could not be read are rows too, each with its ``parse_error``.
     """
     found = listing_links(listings, carry=["page_no"])
     links = keep_first(found, ["url"], ["page_no", "position"]).select("url", "page_no", "position")
-    records = book_records(details, extracted_at)
+    records = book_records(details, extracted_at, errors=errors)
     ordered = records.join(links, F.col("product_url") == F.col("url")).drop("url")
-    return keep_first(ordered, ["upc"], ["page_no", "position"]).drop("page_no", "position")
+    return _first_records(ordered, ["upc"], ["page_no", "position"], ["product_url"]).drop("page_no", "position")
+
+
+def _first_records(rows: DataFrame, keys: list[str], order: list[str], page: list[str]) -> DataFrame:
+    """The first record per key in one pass; rows of pages that failed have no key and count per page."""
+    if "parse_error" not in rows.columns:
+        return keep_first(rows, keys, order)
+    failed = F.col("parse_error").isNotNull()
+    marked = rows.withColumn("__failed", F.when(failed, F.concat_ws("|", *page)))
+    return keep_first(marked, [*keys, "__failed"], order).drop("__failed")
 
 
-def land_quotes(pages: DataFrame, extracted_at: Column) -> DataFrame:
+def land_quotes(pages: DataFrame, extracted_at: Column, *, errors: bool = False) -> DataFrame:
     """Quote pages with a page number ``page_no`` to unique quotes, the first by page and position.
 
+    With ``errors`` pages that could not be read are rows too, each with its ``parse_error``.
     Quotes are told apart by text and author; the short hash alone would join some in very large sets.
     """
-    rows = quote_records(pages, extracted_at, carry=["page_no"])
-    return keep_first(rows, ["quote_hash", "text", "author_name"], ["page_no", "position"]).drop("page_no", "position", "page_url")
+    rows = quote_records(pages, extracted_at, carry=["page_no"], errors=errors)
+    first = _first_records(rows, ["quote_hash", "text", "author_name"], ["page_no", "position"], ["page_url"])
+    return first.drop("page_no", "position", *(() if errors else ("page_url",)))

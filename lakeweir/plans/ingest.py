@@ -6,16 +6,17 @@ upserts the valid ones. What fails the contract never reaches a landing table.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeweir.operators import normalize, pages
 from lakeweir.operators.anomaly import detect_anomalies, split_anomalies
 from lakeweir.operators.contracts import CONTRACTS, enforce_pass_rate, mark_errors, pass_rate, split_valid
 from lakeweir.operators.enrich import alerts_by_store, risks_by_store
-from lakeweir.sources.sinks import append_log, replace_partitions, staged, upsert_landing
+from lakeweir.operators.health import RunMetrics, track_run
+from lakeweir.sources.sinks import append_log, replace_partitions, staged, upsert_landing, write_documents
 
 RUN_LOG = "quality_runs"
 
@@ -63,21 +64,69 @@ def ingest_risks(documents: DataFrame, dictionaries: Mapping[str, DataFrame], ba
     upsert_landing(valid_rows(stores, "store_risk", "store_risks", base, as_of), base, "store_risks", created_at=stamp)
 
 
-def ingest_books(listings: DataFrame, details: DataFrame, base: str, as_of: str) -> None:
-    """Listing and detail pages to ``books``; anomalies go to ``anomalies/books`` by date instead."""
-    stamp = F.lit(as_of).cast("timestamp_ntz")
-    landed = pages.land_books(listings, details, stamp)
+def route_pages(parsed: DataFrame, source: str, page: str, base: str, as_of: str) -> tuple[DataFrame, int]:
+    """Parsed pages, written once, to their sinks: records as gzip JSON documents, failures to ``page_errors``.
+
+    Returns all rows without the error text, failures among them as records without values, which no
+    contract accepts, so they count in the pass rate; and the number of failures.
+    """
+    rows = staged(parsed, f"{source}-parsed")
+    failed = F.col("parse_error").isNotNull()
+    day = F.lit(as_of).cast("timestamp_ntz").cast("date")
+    errors = rows.where(failed).select(
+        F.lit(source).alias("source"), day.alias("extraction_date"), F.col(page).alias("page"), "parse_error"
+    )
+    replace_partitions(errors, f"{base}/page_errors", ["source", "extraction_date"])
+    records = rows.where(~failed).drop("parse_error")
+    write_documents(records, f"{base}/raw", "retail", source, F.col("extraction_date").cast("string"), as_of[:10])
+    return rows.drop("parse_error"), rows.where(failed).count()
+
+
+def ingest_books(
+    listings: DataFrame, details: DataFrame, base: str, as_of: str, run: RunMetrics | None = None
+) -> None:
+    """Listing and detail pages to ``books``; anomalies go to ``anomalies/books`` by date instead.
+
+    Pages are parsed once. ``run`` takes the counts: pages read into records or failed, rows loaded.
+    """
+    stamp, run = F.lit(as_of).cast("timestamp_ntz"), run or RunMetrics()
+    landed, failed = route_pages(pages.land_books(listings, details, stamp, errors=True), "books", "product_url", base, as_of)
+    run.items_extracted += landed.count() - failed
+    run.errors += failed
     valid = valid_rows(landed, "book", "books", base, as_of)
     flagged = staged(detect_anomalies(valid, ["price", "stock_count"]), "books-flagged")
     anomalies, clean = split_anomalies(flagged)
     replace_partitions(anomalies, f"{base}/anomalies/books", "extraction_date")
     upsert_landing(clean, base, "books", created_at=stamp)
+    run.items_loaded += clean.count()
 
 
-def ingest_quotes(quote_pages: DataFrame, author_pages: DataFrame, base: str, as_of: str) -> None:
+def ingest_quotes(
+    quote_pages: DataFrame, author_pages: DataFrame, base: str, as_of: str, run: RunMetrics | None = None
+) -> None:
     """Quote pages (page_no, url, html) and author pages (slug, html) to ``quotes`` and ``authors``."""
-    stamp = F.lit(as_of).cast("timestamp_ntz")
-    quotes = valid_rows(pages.land_quotes(quote_pages, stamp), "quote", "quotes", base, as_of)
+    stamp, run = F.lit(as_of).cast("timestamp_ntz"), run or RunMetrics()
+    landed, failed = route_pages(pages.land_quotes(quote_pages, stamp, errors=True), "quotes", "page_url", base, as_of)
+    quotes = valid_rows(landed.drop("page_url"), "quote", "quotes", base, as_of)
     upsert_landing(quotes, base, "quotes", created_at=stamp)
-    authors = valid_rows(pages.author_records(author_pages, stamp), "author", "authors", base, as_of)
+    run.items_extracted += landed.count() - failed
+    run.errors += failed
+    run.items_loaded += quotes.count()
+    parsed, lost = route_pages(pages.author_records(author_pages, stamp, errors=True), "authors", "slug", base, as_of)
+    authors = valid_rows(parsed, "author", "authors", base, as_of)
     upsert_landing(authors, base, "authors", created_at=stamp)
+    run.errors += lost
+
+
+# Rows that a run has to load at least.
+MINIMUM = {"books": 100, "quotes": 50}
+
+
+def tracked(
+    spark: SparkSession, source: str, base: str, as_of: str, job: Callable[[RunMetrics], None], minimum: int | None = None
+) -> None:
+    """Run a job and land its metrics row in ``run_metrics``, also if it fails; too few rows raise (MINIMUM)."""
+    least = MINIMUM.get(source, 0) if minimum is None else minimum
+    record = lambda row: upsert_landing(row, base, "run_metrics")
+    with track_run(spark, source, f"{source}_ingestion", as_of[:10], record, min_records=least) as run:
+        job(run)

@@ -362,3 +362,72 @@ def stream_late_rows(t: Tables) -> DataFrame:
     columns = [*events.columns]
     found = late_rows(t.spark, late, events.schema).select(*columns, "late_micros")
     return read_table(t.spark, kept, events.schema).withColumn("late_micros", F.lit(None).cast("long")).unionByName(found)
+
+
+# Runs with their metrics row, one of which fails after its rows were written.
+
+
+@query(
+    f"""SELECT event_type AS source, event_type || '_ingestion' AS dag_id, DATE '2024-01-31' AS run_date, count(*) AS items_extracted,
+    count(*) FILTER (WHERE value <= 100) AS items_loaded,
+    count(*) FILTER (WHERE value > 100) + CASE event_type WHEN 'error' THEN 1 ELSE 0 END AS errors FROM events GROUP BY event_type"""
+)
+def tracked_runs(t: Tables) -> DataFrame:
+    """One tracked run per event type; counts come from the run's own write."""
+    base = working_path(t.spark, "tracked")
+
+    def job(source: str):
+        def work(run) -> None:
+            rows = run.watch(t.events.where(F.col("event_type") == source), "items_extracted")
+            fine = F.coalesce(F.col("value") <= 100, F.lit(False))
+            run.watch(rows.where(fine), "items_loaded").write.parquet(f"{base}/events-{source}")
+            run.errors += t.events.where((F.col("event_type") == source) & (F.col("value") > 100)).count()
+            if source == "error":
+                raise RuntimeError("the run stops here")
+
+        return work
+
+    # As many as there are event types.
+    for source in sorted(r[0] for r in t.events.select("event_type").distinct().collect()):
+        try:
+            jobs.tracked(t.spark, source, base, AS_OF, job(source))
+        except RuntimeError:
+            if source != "error":
+                raise
+    rows = sinks.read_landing(t.spark, base, "run_metrics")
+    return rows.select("source", "dag_id", "run_date", "items_extracted", "items_loaded", "errors")
+
+
+# Pages that cannot be read: kept by page with the reason, and counted in the pass rate of their run.
+
+_UNREADABLE = "p_partkey % 40 = 3"
+
+
+@query(
+    f"""SELECT 'page' AS kind, 'https://books.toscrape.com/catalogue/' || CAST(p_partkey AS VARCHAR) || '/index.html' AS name,
+      CAST(1 AS BIGINT) AS number FROM part WHERE p_size > 2 AND {_UNREADABLE}
+    UNION ALL SELECT 'run', 'records', count(*) FROM part WHERE p_size > 2
+    UNION ALL SELECT 'run', 'valid', count(*) FROM part WHERE p_size > 2 AND p_partkey >= 10 AND NOT ({_UNREADABLE})
+    UNION ALL SELECT 'landed', 'books', count(*) FROM part WHERE p_size > 2 AND p_partkey >= 10 AND NOT ({_UNREADABLE})
+    UNION ALL SELECT 'documents', 'books', count(*) FROM part WHERE p_size > 2 AND NOT ({_UNREADABLE})"""
+)
+def page_failures(t: Tables) -> DataFrame:
+    """Book pages, some with a tax that is no number, through the ingestion job to all of its sinks."""
+    base = working_path(t.spark, "page-failures")
+    listings = ingest._listing_pages(t).withColumn("page_no", F.regexp_extract("url", "([0-9]+)$", 1).cast("bigint"))
+    number = F.regexp_extract("url", "catalogue/([0-9]+)/", 1).cast("bigint")
+    odd = F.when(number % 40 == 3, F.replace("html", F.lit("£0.25"), F.lit("£1.2.3"))).otherwise(F.col("html"))
+    jobs.ingest_books(listings, _detail_pages(t).withColumn("html", odd), base, "2024-01-07 03:00:00")
+
+    def counted(kind: str, name: str, df: DataFrame) -> DataFrame:
+        return df.agg(F.count("*").alias("number")).select(F.lit(kind).alias("kind"), F.lit(name).alias("name"), "number")
+
+    pages = read_table(t.spark, f"{base}/page_errors").select(F.lit("page").alias("kind"), F.col("page").alias("name"), F.lit(1).cast("long").alias("number"))
+    log = t.spark.read.parquet(f"{base}/{jobs.RUN_LOG}")
+    run = log.select(F.inline(F.array(*[
+        F.struct(F.lit("run").alias("kind"), F.lit(name).alias("name"), F.col(column).cast("long").alias("number"))
+        for name, column in (("records", "total_records"), ("valid", "valid_records"))
+    ])))
+    documents = t.spark.read.schema("upc string, domain string, source string").json(f"{base}/raw")
+    parts = [pages, run, counted("landed", "books", sinks.read_landing(t.spark, base, "books")), counted("documents", "books", documents)]
+    return reduce(DataFrame.unionByName, parts)
