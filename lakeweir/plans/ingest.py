@@ -16,6 +16,7 @@ from lakeweir.operators.anomaly import detect_anomalies, split_anomalies
 from lakeweir.operators.contracts import CONTRACTS, enforce_pass_rate, mark_errors, pass_rate, split_valid
 from lakeweir.operators.enrich import alerts_by_store, risks_by_store
 from lakeweir.operators.health import RunMetrics, track_run
+from lakeweir.operators.snapshot import keep_first
 from lakeweir.sources.sinks import append_log, replace_partitions, staged, upsert_landing, write_documents
 
 RUN_LOG = "quality_runs"
@@ -49,16 +50,20 @@ def ingest_risks(documents: DataFrame, dictionaries: Mapping[str, DataFrame], ba
     """Risk reports of one extraction to ``commune_profiles``, ``risk_details`` and ``store_risks``.
 
     ``documents`` has ``document``, ``extracted_at`` and ``extraction_date``. Dictionaries:
-    departments, risk_types, stores.
+    departments, risk_types, and store_places, or stores if they have the same columns. With a column
+    ``position`` the first report of a commune by it counts, as members of one large file have.
     """
     stamp = F.lit(as_of).cast("timestamp_ntz")
-    parsed = staged(normalize.parse_reports(normalize.split_reports(documents)), "reports")
+    reports = normalize.parse_reports(normalize.split_reports(documents))
+    if "position" in documents.columns:
+        reports = keep_first(reports, ["insee_code", "extraction_date"], ["position"]).drop("position")
+    parsed = staged(reports, "reports")
     rows = normalize.profile_rows(parsed, dictionaries["departments"])
     profiles = valid_rows(rows, "commune_profile", "commune_profiles", base, as_of)
     upsert_landing(profiles, base, "commune_profiles", created_at=stamp)
     details = normalize.detail_rows(parsed, dictionaries["risk_types"])
     upsert_landing(valid_rows(details, "risk_detail", "risk_details", base, as_of), base, "risk_details", created_at=stamp)
-    stores = risks_by_store(dictionaries["stores"], profiles).withColumns(
+    stores = risks_by_store(dictionaries.get("store_places", dictionaries["stores"]), profiles).withColumns(
         {"extracted_at": stamp, "extraction_date": stamp.cast("date")}
     )
     upsert_landing(valid_rows(stores, "store_risk", "store_risks", base, as_of), base, "store_risks", created_at=stamp)

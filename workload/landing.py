@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeweir.operators import normalize
 from lakeweir.plans import ingest as jobs
 from lakeweir.plans import history, marts, refresh, staging
 from lakeweir.session import working_path
 from lakeweir.sources import sinks
+from lakeweir.sources.members import object_members
 from lakeweir.sources.schemas import LANDING
 from lakeweir.sources.versions import read_table
 from lakeweir.streaming import dedup_with_late_rows, late_rows, stream_files
@@ -431,3 +433,22 @@ def page_failures(t: Tables) -> DataFrame:
     documents = t.spark.read.schema("upc string, domain string, source string").json(f"{base}/raw")
     parts = [pages, run, counted("landed", "books", sinks.read_landing(t.spark, base, "books")), counted("documents", "books", documents)]
     return reduce(DataFrame.unionByName, parts)
+
+
+# One file with all reports as one object, read by several tasks through their byte ranges.
+
+
+@query(f"{SQL['risk_explode'].replace('SELECT * FROM risks', '')} SELECT * FROM risks WHERE extraction_date = {_NEWEST_YEAR}")
+def reports_of_one_file(t: Tables) -> DataFrame:
+    """All reports of the newest year in one JSON object, cut at members and parsed."""
+    reports = ingest._risk_reports(t)
+    newest = reports.agg(F.max("extraction_date")).first()[0]
+    member = F.substring("document", 2, 1 << 30)
+    inner = reports.where(F.col("extraction_date") == F.lit(newest)).select(F.substr(member, F.lit(1), F.length(member) - 1).alias("member"))
+    folder = working_path(t.spark, "one-file")
+    ordered = inner.repartitionByRange(1, "member").sortWithinPartitions("member")
+    head = F.when(F.row_number().over(Window.orderBy("member")) == 1, "{").otherwise(",")
+    lines = ordered.select(F.concat(head, "member").alias("value"))
+    lines.unionByName(t.spark.range(1).select(F.lit("}").alias("value"))).coalesce(1).write.text(folder)
+    documents = object_members(t.spark, folder).select("document", "position", F.lit(newest).alias("extraction_date"))
+    return normalize.risk_rows(normalize.parse_reports(normalize.split_reports(documents))).drop("position")
