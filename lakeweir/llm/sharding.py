@@ -16,6 +16,7 @@ SHARDS = 8
 SEED = 20
 PARTITION_ROWS = 50_000  # rows that are permuted together, as long as that needs fewer partitions than
 MOST_PARTITIONS = 4096  # this: the matrix has so many rows at most
+CHUNK = 10_000  # copies of a row that one task numbers together
 SLOT_BITS = 12  # leading bits of the second permutation's key: buckets of a shard
 
 
@@ -73,8 +74,26 @@ def communication_matrix(counts: list[int], shards: int, seed: int) -> list[list
     return matrix
 
 
-def _key(name: str, seed: int) -> Column:
-    return F.xxhash64(F.lit(f"{name}-{seed}"), F.col("doc_id"), F.col("__crc"), F.col("__size"))
+SAME = ["doc_id", "__size", "__crc"]
+COPY = "__copy"
+
+
+def _key(name: str, seed: int, copy: bool = True) -> Column:
+    """Hash of a row; with ``copy`` equal rows differ by their number, so they are permuted like any others."""
+    return F.xxhash64(F.lit(f"{name}-{seed}"), F.col("doc_id"), F.col("__crc"), F.col("__size"), *([F.col(COPY)] if copy else []))
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Rows of the columns SAME alone, equal ones numbered from 0 in COPY.
+
+    Equal rows are counted, which combines before its shuffle, and dealt out again in chunks, so that
+    no task makes all copies of a row, even if a third of all rows are one.
+    """
+    counted = rows.groupBy(*SAME).agg(F.count("*").alias("__n"))
+    chunks = counted.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / CHUNK))))
+    first = F.col("__chunk") * CHUNK
+    numbers = F.sequence(first, F.least(first + CHUNK, F.col("__n")) - 1)
+    return chunks.repartition(*SAME, "__chunk").select(*SAME, F.explode(numbers).alias(COPY))
 
 
 def _placed(rows: DataFrame, partitions: int, cuts: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -83,7 +102,11 @@ def _placed(rows: DataFrame, partitions: int, cuts: DataFrame, shards: int, seed
     ``cuts`` is broadcast: it has at most MOST_PARTITIONS rows of one number per shard.
     """
     local = Window.partitionBy("__part").orderBy("__local")
-    dealt = rows.withColumn("__part", F.pmod(_key("part", seed), F.lit(partitions))).withColumn("__local", _key("local", seed))
+    dealt = rows.withColumn("__part", _part(rows, partitions, seed))
+    if COPY not in rows.columns:
+        # Equal rows are in one partition then, and are numbered there.
+        dealt = dealt.withColumn(COPY, F.row_number().over(Window.partitionBy("__part", *SAME).orderBy("__crc")).cast("long"))
+    dealt = dealt.withColumn("__local", _key("local", seed))
     ordered = dealt.withColumn("__row", F.row_number().over(local) - 1)
     shard = sum([(F.col("__row") >= F.col("__cuts")[j]).cast("int") for j in range(shards - 1)], F.lit(0))
     return (
@@ -94,23 +117,25 @@ def _placed(rows: DataFrame, partitions: int, cuts: DataFrame, shards: int, seed
     )
 
 
+def _part(rows: DataFrame, partitions: int, seed: int) -> Column:
+    return F.pmod(_key("part", seed, COPY in rows.columns), F.lit(partitions))
+
+
 def shuffle_rows(rows: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """Rows with doc_id, __size and __crc, and their __shard and __slot.
 
-    Partitions are hash classes of the row, so reruns and retries see the same ones. The driver
+    Partitions are hash classes of the row, so reruns and retries see the same ones. Equal rows differ
+    by a number (COPY, made here if the rows have none) in both permutations. The driver
     holds one count per partition and shard, no more than MOST_PARTITIONS times ``shards``. Slots
     come from a second permutation in buckets. ``rows`` is read three times, twice without
     the columns that only travel along; equal rows are interchangeable.
     """
-    narrow = rows.select("doc_id", "__size", "__crc")
+    narrow = rows.select(*SAME, *([COPY] if COPY in rows.columns else []))
     partitions = max(shards, min(MOST_PARTITIONS, -(-rows.count() // PARTITION_ROWS)))
-    part = F.pmod(_key("part", seed), F.lit(partitions)).alias("part")
-    found = {r["part"]: r["n"] for r in narrow.groupBy(part).agg(F.count("*").alias("n")).collect()}
+    found = {r["part"]: r["n"] for r in narrow.groupBy(_part(rows, partitions, seed).alias("part")).agg(F.count("*").alias("n")).collect()}
     counts = [found.get(p, 0) for p in range(partitions)]
     matrix = communication_matrix(counts, shards, seed)
-    cuts = rows.sparkSession.createDataFrame(
-        [(p, list(accumulate(row))) for p, row in enumerate(matrix)], "__of long, __cuts array<long>"
-    )
+    cuts = rows.sparkSession.sql(_literal_rows(matrix))
     bucket = F.shiftright("__again", 64 - SLOT_BITS)
     one = F.lit(1)
     sums = staged(bucket_sums(_placed(narrow, partitions, cuts, shards, seed), ["__shard"], bucket, one), "shard-sums")
@@ -118,6 +143,12 @@ def shuffle_rows(rows: DataFrame, shards: int = SHARDS, seed: int = SEED) -> Dat
     return ranked(placed, sums, ["__shard"], ["__again"], bucket, one, "__slot")
 
 
+def _literal_rows(matrix: list[list[int]]) -> str:
+    """The cuts of every partition as literals: rows the JVM makes, which no Python worker has to serve."""
+    rows = ",".join(f"({p}L, array({','.join(f'{n}L' for n in accumulate(row))}))" for p, row in enumerate(matrix))
+    return f"SELECT * FROM VALUES {rows} AS cuts(__of, __cuts)"
+
+
 def assign_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
@@ -125,7 +156,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> Da
     counts differ by at most one. A null text has size 1 and crc 0; null ids are hashed as null;
     repeated rows are placed like any others; an empty table gives an empty result.
     """
-    narrow = staged(docs.select("doc_id", size().alias("__size"), checksum().alias("__crc")), "shard-rows")
+    narrow = staged(numbered(docs.select("doc_id", size().alias("__size"), checksum().alias("__crc"))), "shard-rows")
     return shuffle_rows(narrow, shards, seed).select(
         "doc_id",
         F.col("__size").alias("size"),
@@ -138,7 +169,11 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> Da
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """The rows of ``docs``, all columns, with shard and slot (in place of columns of these names)."""
+    """The rows of ``docs``, all columns, with shard and slot (in place of columns of these names).
+
+    Null texts have size 1 and checksum 0, null ids are hashed as null; rows that repeat are permuted
+    like any others; an empty table gives an empty result.
+    """
     own = [c for c in docs.columns if not c.startswith("__") and c not in ("shard", "slot")]
     rows = docs.select(*own, size().alias("__size"), checksum().alias("__crc"))
     placed = shuffle_rows(rows, shards, seed)

@@ -108,3 +108,25 @@ def test_long_runs_and_structures_of_secrets():
     for text in ("a" * 400_000 + " x.y", "a." * 200_000, ("eyJh" * 10 + ".") * 10_000, "-----BEGIN PRIVATE KEY-----\nab" * 10_000):
         secret_scan.structural_spans(text)
     assert time.perf_counter() - start < 10
+
+
+def test_equal_rows_are_permuted_too(spark):
+    from lakeweir.llm import sharding
+
+    rows = [(7, "the very same")] * 1001 + [(100 + i, f"text {i}") for i in range(2999)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for placed in (sharding.assign_shards(docs), sharding.shard_documents(docs)):
+        got = placed.select("doc_id", "shard", "slot").collect()
+        assert len(got) == 4000
+        by_shard = {}
+        for r in got:
+            by_shard.setdefault(r.shard, []).append((r.slot, r.doc_id == 7))
+        for found in by_shard.values():
+            assert sorted(s for s, _ in found) == list(range(500))
+            same = sorted(s for s, mine in found if mine)
+            # 1,001 of 4,000 rows: about 125 a shard (10 more or less), spread over its slots.
+            assert 80 < len(same) < 170
+            runs = 1 + sum(b != a + 1 for a, b in zip(same, same[1:]))
+            assert runs > 60
+    again = [{(r.doc_id, r.shard, r.slot) for r in sharding.assign_shards(d).collect()} for d in (docs, docs.coalesce(1))]
+    assert again[0] == again[1]
