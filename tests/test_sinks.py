@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lakeweir.plans import refresh as refresh_plan
 from lakeweir.plans.incremental import merge_new_alerts, refresh_alert_facts
 from lakeweir.plans.marts import fct_alerts
+from lakeweir.session import scratch
 from lakeweir.sources import documents, sinks
 from lakeweir.sources.catalog import Catalog, Dataset
 from lakeweir.sources.schemas import LANDING, MONITORING
@@ -158,3 +159,13 @@ def test_refresh_and_rerun(spark, tmp_path):
     assert counts[0] == counts[1] and min(counts[0].values()) > 0
     facts = spark.read.parquet(f"{tmp_path}/marts/fct_alerts")
     assert facts.count() == facts.select("alert_key").distinct().count() == landing["alerts"].where("department_code is not null").count()
+
+
+def test_scratch_is_deleted(spark, frame, tmp_path):
+    kept = sinks.staged(frame("n int", (1,)), "kept")
+    with scratch(spark):
+        inner = sinks.staged(frame("n int", (2,)), "inner")
+        path = inner.inputFiles()[0]
+        kept.unionByName(inner).write.parquet(f"{tmp_path}/out")
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == [(1,), (2,)] and rows(kept) == [(1,)]
+    assert not glob.glob(path.removeprefix("file://"))
