@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeweir.llm import decontamination, mixing, near_dedup, sharding, toxicity
 from lakeweir.llm.common import table
-from lakeweir.sources.sinks import staged
+from lakeweir.session import scratch, working_path
+from lakeweir.sources.versions import remove
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +48,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages over all documents. What a stage wrote on its way goes when its rows are written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = working_path(spark, f"pipeline-{name}")
+        with scratch(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return docs
