@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeweir.operators import normalize
+from lakeweir.operators import anomaly, contracts, normalize
+from lakeweir.operators.health import TooFewRecordsError
 from lakeweir.plans import ingest as jobs
 from lakeweir.plans import history, marts, refresh, staging
 from lakeweir.session import working_path
@@ -17,7 +18,7 @@ from lakeweir.sources.members import object_members
 from lakeweir.sources.schemas import LANDING
 from lakeweir.sources.versions import read_table
 from lakeweir.streaming import dedup_with_late_rows, late_rows, stream_files
-from workload import ingest, models
+from workload import ingest, models, quality  # noqa: F401 - quality registers SQL that is used here
 from workload.registry import SQL, query
 from workload.tables import ALERTS, AUTHORS, BOOKS, DETAILS, METRICS, PROFILES, QUOTES, Tables
 
@@ -40,10 +41,15 @@ def landed_sql(name: str, source: str) -> str:
     QUALIFY {partial} OR row_number() OVER (PARTITION BY {', '.join(table.key)} ORDER BY {order}) = 1"""
 
 
+SOURCES: dict[str, tuple[str, Callable[[Tables], DataFrame]]] = {}
+
+
 def _rerun(name: str, source: str):
     """Register ``rerun_<name>``: load what the function gives twice, return the landing table."""
 
     def register(build: Callable[[Tables], DataFrame]):
+        SOURCES[name] = (source, build)
+
         def twice(t: Tables) -> DataFrame:
             base, rows = working_path(t.spark, "rerun"), build(t)
             for _ in range(2):
@@ -452,3 +458,142 @@ def reports_of_one_file(t: Tables) -> DataFrame:
     lines.unionByName(t.spark.range(1).select(F.lit("}").alias("value"))).coalesce(1).write.text(folder)
     documents = object_members(t.spark, folder).select("document", "position", F.lit(newest).alias("extraction_date"))
     return normalize.risk_rows(normalize.parse_reports(normalize.split_reports(documents))).drop("position")
+
+
+# All record contracts over the rows that the landing tables take, and three over deals and recipes made of parts.
+
+_RECIPES = """SELECT CASE WHEN p_partkey % 31 <> 0 THEN CAST(p_partkey AS VARCHAR) END AS recipe_id, p_name AS title,
+    'https://cook.example/' || CAST(p_partkey AS VARCHAR) AS recipe_url, p_size AS prep_time_minutes, p_retailprice / 100 AS rating,
+    '2024-01-07' AS extraction_date, '2024-01-07T03:00:00' AS extracted_at FROM part"""
+_GAMES = """SELECT CAST(p_partkey AS VARCHAR) AS gog_id, CASE WHEN p_partkey % 17 <> 0 THEN p_name END AS title, p_brand AS developer,
+    p_retailprice AS price, p_size > 25 AS is_in_development, '2024-01-07' AS extraction_date, '2024-01-07T03:00:00' AS extracted_at FROM part"""
+_DEALS = """SELECT CAST(p_partkey AS VARCHAR) AS deal_id, p_name AS title, CASE WHEN p_size > 3 THEN 'https://deal.example/' || p_brand END AS deal_url,
+    p_type AS category, p_size AS temperature, '2024-01-07' AS extraction_date, '2024-01-07T03:00:00' AS extracted_at FROM part"""
+
+
+def _dated(df: DataFrame) -> DataFrame:
+    return df.withColumns({"extraction_date": F.lit("2024-01-07"), "extracted_at": F.lit("2024-01-07T03:00:00")})
+
+
+def _recipes(t: Tables) -> DataFrame:
+    key = F.col("p_partkey").cast("string")
+    return _dated(t.part.select(
+        F.when(F.col("p_partkey") % 31 != 0, key).alias("recipe_id"), F.col("p_name").alias("title"),
+        F.concat(F.lit("https://cook.example/"), key).alias("recipe_url"), F.col("p_size").alias("prep_time_minutes"),
+        (F.col("p_retailprice") / 100).alias("rating"),
+    ))
+
+
+def _games(t: Tables) -> DataFrame:
+    return _dated(t.part.select(
+        F.col("p_partkey").cast("string").alias("gog_id"), F.when(F.col("p_partkey") % 17 != 0, F.col("p_name")).alias("title"),
+        F.col("p_brand").alias("developer"), F.col("p_retailprice").alias("price"), (F.col("p_size") > 25).alias("is_in_development"),
+    ))
+
+
+def _deals(t: Tables) -> DataFrame:
+    url = F.when(F.col("p_size") > 3, F.concat(F.lit("https://deal.example/"), "p_brand"))
+    return _dated(t.part.select(
+        F.col("p_partkey").cast("string").alias("deal_id"), F.col("p_name").alias("title"), url.alias("deal_url"),
+        F.col("p_type").alias("category"), F.col("p_size").alias("temperature"),
+    ))
+
+
+CONTRACTED = {
+    "book": SOURCES["books"], "quote": SOURCES["quotes"], "author": SOURCES["authors"], "alert": SOURCES["alerts"],
+    "store_alert": SOURCES["store_alerts"], "commune_profile": SOURCES["commune_profiles"], "store_risk": SOURCES["store_risks"],
+    "risk_detail": SOURCES["risk_details"], "recipe": (_RECIPES, _recipes), "game_deal": (_GAMES, _games), "shop_deal": (_DEALS, _deals),
+}
+_OPTIONAL = {"recipe": ("recipe_id", "title", "recipe_url"), "game_deal": ("gog_id", "title"), "shop_deal": ("deal_id", "title", "deal_url")}
+
+
+def _fits_sql(contract: contracts.Contract) -> str:
+    """The contract's rules on typed columns, those that the source has."""
+    rules = []
+    for f in contract.fields:
+        if contract.name in _OPTIONAL and f.name not in (*_OPTIONAL[contract.name], "extraction_date", "extracted_at"):
+            continue
+        if not f.nullable:
+            rules.append(f"{f.name} IS NOT NULL")
+        if f.min_length is not None:
+            rules.append(f"length({f.name}) >= {f.min_length}")
+        rules += [f"coalesce({f.name} {sign} {limit}, true)" for sign, limit in ((">=", f.ge), ("<=", f.le)) if limit is not None]
+    return " AND ".join(rules)
+
+
+def _rate_sql(name: str) -> str:
+    return (
+        f"SELECT '{name}' AS pipeline, count(*) AS total_records, count(*) FILTER (WHERE {_fits_sql(contracts.CONTRACTS[name])}) AS valid_records "
+        f"FROM ({CONTRACTED[name][0]})"
+    )
+
+
+_RATES = " UNION ALL ".join(_rate_sql(name) for name in CONTRACTED)
+
+
+def _rates(t: Tables) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        contracts.pass_rate(contracts.mark_errors(build(t), contracts.CONTRACTS[name]), name) for name, (_, build) in CONTRACTED.items()
+    ])
+
+
+@query(f"SELECT *, total_records - valid_records AS error_records, valid_records::DOUBLE / total_records AS pass_rate FROM ({_RATES})")
+def contract_rates(t: Tables) -> DataFrame:
+    """Pass rate of every record contract."""
+    return _rates(t)
+
+
+_MINIMA = (0.5, 0.9, 0.97)
+
+
+@query(
+    f"""SELECT pipeline, CAST(minimum AS DOUBLE) AS minimum, valid_records::DOUBLE / total_records >= minimum AS passed
+    FROM ({_RATES}), (VALUES {', '.join(f'({m}::DOUBLE)' for m in _MINIMA)}) m(minimum)"""
+)
+def gate_outcomes(t: Tables) -> DataFrame:
+    """What the pass-rate gate lets through at three minimum rates."""
+    rates, rows = sinks.staged(_rates(t), "rates"), []
+    for name in CONTRACTED:
+        for minimum in _MINIMA:
+            try:
+                contracts.enforce_pass_rate(rates.where(F.col("pipeline") == name), minimum)
+                rows.append((name, minimum, True))
+            except contracts.QualityGateError:
+                rows.append((name, minimum, False))
+    return t.spark.createDataFrame(rows, "pipeline string, minimum double, passed boolean")
+
+
+@query(SQL["anomaly_quarantine"])
+def quarantine_files(t: Tables) -> DataFrame:
+    """Anomalies and clean rows through the split sink, read back from its two tables."""
+    base = working_path(t.spark, "quarantine-files")
+    sinks.split_quarantine(anomaly.detect_anomalies(t.events, ["value", "user_id"]), f"{base}/clean", f"{base}/bad")
+    bad, clean = read_table(t.spark, f"{base}/bad"), read_table(t.spark, f"{base}/clean")
+    both = bad.select(F.lit("quarantine").alias("target"), "event_type", "event_id").unionByName(
+        clean.select(F.lit("staging").alias("target"), "event_type", "event_id")
+    )
+    return both.groupBy("target", "event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
+@query(
+    """SELECT event_type AS source, count(*) AS items_loaded, count(*) < (SELECT count(*) // 5 FROM events) AS too_few
+    FROM events GROUP BY event_type"""
+)
+def minimum_guard(t: Tables) -> DataFrame:
+    """Runs that have to load a fifth of all events: their recorded rows, and which of them raised."""
+    base, least, raised = working_path(t.spark, "minimum"), t.events.count() // 5, {}
+
+    def job(source: str):
+        def work(run) -> None:
+            run.watch(t.events.where(F.col("event_type") == source), "items_loaded").write.parquet(f"{base}/events-{source}")
+
+        return work
+
+    for source in sorted(r[0] for r in t.events.select("event_type").distinct().collect()):
+        try:
+            jobs.tracked(t.spark, source, base, AS_OF, job(source), minimum=least)
+            raised[source] = False
+        except TooFewRecordsError:
+            raised[source] = True
+    named = F.create_map(*[F.lit(x) for pair in raised.items() for x in pair])
+    return sinks.read_landing(t.spark, base, "run_metrics").select("source", "items_loaded", F.element_at(named, F.col("source")).alias("too_few"))
