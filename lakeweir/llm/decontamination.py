@@ -116,6 +116,15 @@ def regions(begins: np.ndarray, length: int, spare: int, n_words: int) -> list[t
     return out
 
 
+def gap_steps(most: int, growth: float) -> Iterator[tuple[int, int]]:
+    """(less, gaps): ranges of numbers of gaps above ``less`` and up to ``gaps``, which together hold 0 to ``most``."""
+    less = -1
+    while less < most:
+        gaps = less + max(1, int(less * growth))
+        yield less, gaps
+        less = gaps
+
+
 class Matcher:
     """Items with all their n-grams, ready to look for them in texts. Its size follows the block of items."""
 
@@ -132,11 +141,58 @@ class Matcher:
         self.seeds = Seeds(grams, lengths_of(items))
         self.first = np.append(first, len(gram))
         self.owner, self.offset = owner[order], offset[order]
-        self.vocabulary = np.unique(np.concatenate([i.words for i in items]))
+        self.vocabulary, number = np.unique(np.concatenate([i.words for i in items]), return_inverse=True)
+        self._choose_rare(number)
+
+    def _choose_rare(self, number: np.ndarray) -> None:
+        """Per item its rarest words, and how many of them a match has at least.
+
+        A match has at least ``threshold`` of an item's words in place. So of the words that are
+        left when a set of others is taken away, it has all but what that set may cover: of the
+        rarest m - threshold * m + k words it has k. Rare is what few items hold.
+        """
+        owner = np.repeat(np.arange(len(self.items)), self.lengths)
+        offset = np.arange(len(number)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        held = np.unique(owner * len(self.vocabulary) + number) % len(self.vocabulary)
+        often = np.bincount(held, minlength=len(self.vocabulary))
+        least = np.ceil(self.threshold * self.lengths - 1e-9).astype(np.int64)
+        self.need = np.minimum(1 + self.lengths // 8, np.maximum(least, 1))
+        order = np.lexsort((number, often[number], owner))
+        rank = np.arange(len(number)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        rare = order[rank < (self.lengths - least + self.need)[owner[order]]]
+        rare = rare[np.argsort(number[rare], kind="stable")]
+        self.rare_first = np.searchsorted(number[rare], np.arange(len(self.vocabulary) + 2))
+        self.rare_owner, self.rare_offset = owner[rare], offset[rare]
+
+    def rare_places(self, number: np.ndarray, span: int) -> np.ndarray:
+        """Where rare words of the items stand in the texts: sorted keys of item and the word it would begin at."""
+        times = self.rare_first[number + 1] - self.rare_first[number]
+        entry = np.repeat(self.rare_first[number], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        begin = np.repeat(np.arange(len(number)), times) - self.rare_offset[entry]
+        return np.sort(self.rare_owner[entry] * span + begin + span // 4)
+
+    def rare_enough(self, rare: np.ndarray, key: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """Whether enough rare words lie near each place, by some number of gaps.
+
+        A match with g gaps has ``threshold`` of the item's words and g / 2 more, as each gap costs half
+        of what a word brings, and none of them lies further than g from where another puts the item.
+        """
+
+        def near(rows: np.ndarray, reach: np.ndarray) -> np.ndarray:
+            return np.searchsorted(rare, key[rows] + reach, side="right") - np.searchsorted(rare, key[rows] - reach)
+
+        spare, need = self.spare[owner], self.need[owner]
+        passed = np.zeros(len(key), dtype=bool)
+        rows = np.flatnonzero(near(np.arange(len(key)), spare) >= need)
+        for less, gaps in gap_steps(int(self.spare.max()), 1.0):
+            rows = rows[~passed[rows] & (spare[rows] > less)]
+            passed[rows] = near(rows, np.minimum(gaps, spare[rows])) >= need[rows] + (less + 1) // 2
+        return passed
 
     def search(self, texts) -> Iterator[tuple[int, list[tuple]]]:
         """Of the texts with matches: place in ``texts``, and what was found there."""
-        for begin, end in text_pieces(texts):
+        # Hits grow with the items, so more items take shorter runs of texts at once.
+        for begin, end in text_pieces(texts, max(1 << 14, (1 << 29) // (1024 + len(self.items)))):
             words = words_of(texts[begin:end])
             places = self.places(words)
             for k in np.unique(places[0]):
@@ -146,19 +202,33 @@ class Matcher:
 
     def places(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, item and word where the item would begin, of all seed hits whose surroundings share
-        enough words with the item for a match; ordered by text."""
+        enough words with the item for a match; ordered by text.
+
+        First counted are the item's rare words that would put its beginning near the same word, all
+        hits at once; only around what is left all words are looked at.
+        """
         text, at, position = self.seeds.hits(words)
         times = self.first[at + 1] - self.first[at]
         number = np.minimum(np.searchsorted(self.vocabulary, words.hashes), len(self.vocabulary) - 1)
         number[self.vocabulary[number] != words.hashes] = len(self.vocabulary)
         local = np.zeros(len(self.vocabulary) + 1, dtype=np.int64)
+        # A key holds an item and a word of all texts where it may begin, before the first one too.
+        span = 4 * (len(words.hashes) + int(self.lengths.max()) + int(self.spare.max()) + 1)
+        rare = self.rare_places(number, span)
         out = [np.zeros((3, 0), dtype=np.int64)]
         for low, high in pieces(times.tolist(), ENTRIES):
             n, first = times[low:high], self.first[at[low:high]]
             entry = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             owner = self.owner[entry]
-            begin = np.repeat(position[low:high], n) - self.offset[entry]
-            rows = np.unique(np.stack([owner, np.repeat(text[low:high], n), begin]), axis=1) if len(entry) else out[0]
+            begin = np.repeat(position[low:high] + words.starts[text[low:high]], n) - self.offset[entry]
+            # Each place once, ordered by item, word and text: neighbours are looked up next to each other.
+            texts = len(words.starts) - 1
+            whole = np.unique((owner * span + begin + span // 4) * texts + np.repeat(text[low:high], n))
+            key, of = whole // texts, whole % texts
+            left = np.flatnonzero(self.rare_enough(rare, key, key // span))
+            key, of = key[left], of[left]
+            rows = np.stack([key // span, of, key % span - span // 4 - words.starts[of]])
+            rows = rows[:, np.lexsort(rows[::-1])]
             for group in np.split(rows, np.flatnonzero(np.diff(rows[0])) + 1, axis=1):
                 if group.shape[1]:
                     out.append(group[:, self.may_match(int(group[0, 0]), words.starts[group[1]] + group[2], number, local)])
@@ -168,7 +238,8 @@ class Matcher:
 
     def may_match(self, owner: int, begins: np.ndarray, number: np.ndarray, local: np.ndarray) -> np.ndarray:
         """Whether the words around ``begins`` that the item has too, each as often as in the item at
-        most, would reach the threshold if all of them matched. Words of neighbouring texts may count."""
+        most, would reach the threshold if all of them matched, by some number of gaps. Words of
+        neighbouring texts may count."""
         length, spare = int(self.lengths[owner]), int(self.spare[owner])
         own, often = np.unique(self.items[owner].words, return_counts=True)
         at = np.searchsorted(self.vocabulary, own)
@@ -181,7 +252,15 @@ class Matcher:
         size = len(own) + 1
         seen = np.bincount((np.arange(len(left))[:, None] * size + inside[left]).ravel(), minlength=len(left) * size)
         shared = np.minimum(seen.reshape(len(left), size)[:, 1:], often).sum(axis=1)
-        enough[left] = shared >= self.threshold * length
+        left = left[shared >= self.threshold * length]
+        enough[:] = False
+        for less, gaps in gap_steps(spare, 0.3):
+            part = inside[left, spare - min(gaps, spare) : spare + length + gaps]
+            seen = np.bincount((np.arange(len(left))[:, None] * size + part).ravel(), minlength=len(left) * size)
+            shared = np.minimum(seen.reshape(len(left), size)[:, 1:], often).sum(axis=1)
+            passed = shared >= self.threshold * length + (less + 1) / 2
+            enough[left[passed]] = True
+            left = left[~passed]
         return enough
 
     def find(self, words: np.ndarray, owner: np.ndarray, begin: np.ndarray) -> list[tuple]:

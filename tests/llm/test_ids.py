@@ -130,3 +130,35 @@ def test_equal_rows_are_permuted_too(spark):
             assert runs > 60
     again = [{(r.doc_id, r.shard, r.slot) for r in sharding.assign_shards(d).collect()} for d in (docs, docs.coalesce(1))]
     assert again[0] == again[1]
+
+
+@pytest.mark.parametrize("size", [25, 400])
+def test_contamination_of_frequent_words_is_all_that_alignment_finds(size):
+    """Words of natural frequencies, copies with edits: every pair above the threshold with two words in a row, none else."""
+    import numpy as np
+
+    from lakeweir.llm.common import words_of
+
+    dice, rng = random.Random(size), np.random.default_rng(size)
+    share = 1 / np.arange(1, size + 1)
+    draw = lambda n: [f"w{k}" for k in rng.choice(size, n, p=share / share.sum())]
+    texts = [" ".join(draw(dice.choice([2, 4, 8, 15, 30]))) for _ in range(25)]
+    docs = []
+    for _ in range(12):
+        body = draw(dice.choice([0, 20, 120]))
+        copy = dice.choice(texts).split()
+        every = dice.choice([2, 3, 5, 100])
+        edited = [x for k, w in enumerate(copy) for x in ([w] if k % every else dice.choice([["zz"], [], [w, *draw(2)]]))]
+        docs.append(" ".join([*body, *edited, *draw(5)]))
+    items = decontamination.items_of(list(enumerate(texts)))
+    found = {(k, m[0]): m[1] for k, ms in decontamination.Matcher(items, 0.5).search(docs) for m in ms}
+    for k, doc in enumerate(docs):
+        words = words_of([doc]).of(0)
+        for item in items:
+            score, *_ = decontamination.align(item.words, words)
+            best = score / (decontamination.MATCH * len(item.words))
+            if (k, item.item_id) in found:
+                assert abs(found[k, item.item_id] - best) < 1e-12
+            else:
+                # What two words in a row are asked for may be missing just at the threshold.
+                assert best <= 0.5 + 1 / (2 * len(item.words))
