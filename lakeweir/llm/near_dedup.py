@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -156,7 +157,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = staged(links.where("a != b").distinct(), "near-links")
     labels = None
-    for turn in range(200):
+    for turn in count():
         if edges.isEmpty():
             break
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -270,7 +271,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that stay; of rows with one id one stays, null ids all stay."""
+    """The rows of ``docs``, all columns, that stay; null ids all stay, of rows with one id the one whose text
+    has the smallest checksum, then hash, so a run again keeps the same one."""
     kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    body = F.coalesce("text", F.lit(""))
+    first = F.min_by(F.struct(*[c for c in docs.columns if c != "doc_id"]), F.struct(F.crc32(body.cast("binary")), F.xxhash64(body)))
+    named = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(first.alias("__row")).select("doc_id", "__row.*")
     return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))

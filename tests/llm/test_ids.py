@@ -162,3 +162,13 @@ def test_contamination_of_frequent_words_is_all_that_alignment_finds(size):
             else:
                 # What two words in a row are asked for may be missing just at the threshold.
                 assert best <= 0.5 + 1 / (2 * len(item.words))
+
+
+def test_of_rows_with_one_id_the_same_stays(spark):
+    rows = [(5, f"text number {k} of this id with some words of its own {k * 7}", f"s{k}") for k in range(6)]
+    docs = spark.createDataFrame(rows + [(6, None, "x"), (6, "", "y"), (None, "a", "z")], "doc_id long, text string, source string")
+    kept = [
+        sorted((tuple(r) for r in near_dedup.keep_one_of_each(d).collect()), key=repr)
+        for d in (docs, docs.repartition(5), docs.orderBy(docs.source.desc()).coalesce(1))
+    ]
+    assert [r[0] for r in kept[0]] == [5, 6, None] and kept[0][0] == kept[1][0] == kept[2][0]
