@@ -81,7 +81,8 @@ def route_pages(parsed: DataFrame, source: str, page: str, base: str, as_of: str
     errors = rows.where(failed).select(
         F.lit(source).alias("source"), day.alias("extraction_date"), F.col(page).alias("page"), "parse_error"
     )
-    replace_partitions(errors, f"{base}/page_errors", ["source", "extraction_date"])
+    own = f"source={source}/extraction_date={as_of[:10]}"
+    replace_partitions(errors, f"{base}/page_errors", ["source", "extraction_date"], [own])
     records = rows.where(~failed).drop("parse_error")
     write_documents(records, f"{base}/raw", "retail", source, F.col("extraction_date").cast("string"), as_of[:10])
     return rows.drop("parse_error"), rows.where(failed).count()
@@ -101,7 +102,7 @@ def ingest_books(
     valid = valid_rows(landed, "book", "books", base, as_of)
     flagged = staged(detect_anomalies(valid, ["price", "stock_count"]), "books-flagged")
     anomalies, clean = split_anomalies(flagged)
-    replace_partitions(anomalies, f"{base}/anomalies/books", "extraction_date")
+    replace_partitions(anomalies, f"{base}/anomalies/books", "extraction_date", [f"extraction_date={as_of[:10]}"])
     upsert_landing(clean, base, "books", created_at=stamp)
     run.items_loaded += clean.count()
 

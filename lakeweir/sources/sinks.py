@@ -23,9 +23,12 @@ def replace_snapshot(df: DataFrame, path: str) -> None:
     versions.commit(df, path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: str | Sequence[str]) -> None:
-    """Replace only the partitions present in ``df``, all of them or none; all others stay as they are."""
-    versions.commit(df, path, [by] if isinstance(by, str) else list(by))
+def replace_partitions(df: DataFrame, path: str, by: str | Sequence[str], also: Sequence[str] = ()) -> None:
+    """Replace only the partitions present in ``df``, all of them or none; all others stay as they are.
+
+    ``also`` names folders of partitions that are replaced even if ``df`` has no row of them.
+    """
+    versions.commit(df, path, [by] if isinstance(by, str) else list(by), also=also)
 
 
 def upsert_table(

@@ -226,11 +226,12 @@ def begin(spark: SparkSession, path: str) -> tuple[Version | None, int]:
 
 def commit(
     df: DataFrame, path: str, by: Sequence[str] = (), *, base: tuple[Version | None, int] | None = None,
-    ledger: Mapping[str, int] | None = None,
+    ledger: Mapping[str, int] | None = None, also: Sequence[str] = (),
 ) -> Version:
     """Write ``df`` to the table at ``path``, whole or not at all; ``df`` may read the table.
 
-    Without ``by`` it replaces all rows; with it, the partitions that ``df`` has rows of. ``base`` is
+    Without ``by`` it replaces all rows; with it, the partitions that ``df`` has rows of, and those
+    that ``also`` names as folders (``a=1/b=2``), which go if ``df`` has no rows of them. ``base`` is
     what ``begin`` returned before ``df`` was derived: if another writer has committed since, this
     raises and the table keeps that writer's rows. ``ledger`` entries stay with the table.
     """
@@ -238,7 +239,10 @@ def commit(
     before, number = base or begin(spark, path)
     folder = f"{VERSIONS}/{number:010d}-{uuid.uuid4().hex[:12]}"
     items = write_files(df, f"{path}/{folder}", by)
-    drops = () if by else tuple(data_children(spark, path))
+    if by:
+        drops = tuple(name for name in also if name not in items and exists(spark, f"{path}/{name}"))
+    else:
+        drops = tuple(data_children(spark, path))
     version = Version(number, folder, df.schema, items, drops, {**(before.ledger if before else {}), **(ledger or {})})
     publish(spark, path, version)
     finish(spark, path, version)

@@ -248,3 +248,13 @@ def test_gate_judges_the_data(spark, tmp_path):
     landing = {n: getattr(tables, n) for n in ("alerts", "commune_profiles", "risk_details", "books", "quotes", "authors")}
     with pytest.raises(MartGateError, match="data of rpt_book_stats"):
         refresh(spark, landing, str(tmp_path), "2024-02-01 00:00:00", max_data_age_days={"rpt_book_stats": 10})
+
+
+def test_partitions_without_rows_can_go(spark, frame, tmp_path):
+    path, ddl = f"{tmp_path}/t", "a string, b string, n int"
+    sinks.replace_partitions(frame(ddl, ("x", "1", 1), ("x", "2", 2)), path, ["a", "b"])
+    none = frame(ddl, ("x", "1", 1)).where("false")
+    sinks.replace_partitions(none, path, ["a", "b"], ["a=x/b=1", "a=y/b=1"])
+    assert rows(versions.read_table(spark, path)) == [("x", "2", 2)]
+    sinks.replace_partitions(frame(ddl, ("x", "2", 3)), path, ["a", "b"], ["a=x/b=2"])
+    assert rows(versions.read_table(spark, path)) == [("x", "2", 3)]
