@@ -104,8 +104,8 @@ def _placed(rows: DataFrame, partitions: int, cuts: DataFrame, shards: int, seed
     local = Window.partitionBy("__part").orderBy("__local")
     dealt = rows.withColumn("__part", _part(rows, partitions, seed))
     if COPY not in rows.columns:
-        # Equal rows are in one partition then, and are numbered there.
-        dealt = dealt.withColumn(COPY, F.row_number().over(Window.partitionBy("__part", *SAME).orderBy("__crc")).cast("long"))
+        # Equal rows are in one partition then, and are numbered there; dealt out once for both windows.
+        dealt = dealt.repartition("__part").withColumn(COPY, F.row_number().over(Window.partitionBy("__part", *SAME).orderBy("__crc")).cast("long"))
     dealt = dealt.withColumn("__local", _key("local", seed))
     ordered = dealt.withColumn("__row", F.row_number().over(local) - 1)
     shard = sum([(F.col("__row") >= F.col("__cuts")[j]).cast("int") for j in range(shards - 1)], F.lit(0))
