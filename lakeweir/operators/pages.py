@@ -1,6 +1,6 @@
 """HTML pages to records.
 
-Pages are read whole, in Arrow batches, by partition; each page's elements are picked in Python
+Pages are read whole, a few at once, by partition; each page's elements are picked in Python
 and everything that is plain text work afterwards (prices, stock, addresses, slugs, hashes) is
 column expressions. A cheap text filter drops pages without the wanted markup before Python sees
 them.
@@ -14,9 +14,12 @@ from collections.abc import Iterator, Mapping, Sequence
 from itertools import islice
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from lakeweir.functions import (
     absolute_url,
@@ -135,22 +138,51 @@ def _picked(page: Element, record: Record) -> list[tuple]:
     return rows
 
 
+# Pages that a task has opened at once at most, and bytes of their text after which it opens no more.
+PAGES, PAGE_BYTES = 64, 4 << 20
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[list[tuple]]:
+    """Rows of a batch of pages, the text first, few at once: a worker holds Python texts of one slice only."""
+    begin, held = 0, 0
+    lengths = pc.fill_null(pc.binary_length(batch.column(0)), 0)
+    for at, size in enumerate(lengths):
+        held += size.as_py()
+        if held >= PAGE_BYTES or at + 1 - begin >= PAGES or at + 1 == batch.num_rows:
+            part = batch.slice(begin, at + 1 - begin)
+            yield list(zip(*(column.to_pylist() for column in part.columns), strict=True))
+            begin, held = at + 1, 0
+
+
+def _page_rows(html: str, record: Record) -> list[tuple]:
+    """Position, picked fields and error text of each record of a page."""
+    try:
+        page = parse_html(html)
+        rows = [(i, *fields, None) for i, fields in enumerate(_picked(page, record))]
+        page.release()
+    except (AttributeError, ValueError, TypeError) as error:
+        rows = [(0, *[None] * len(record.fields), str(error))]
+    return rows
+
+
 def _extract(pages: DataFrame, record: Record, carry: list[str]) -> DataFrame:
-    """Rows of ``record`` per page: carried columns, position in the page, picked fields, error text."""
+    """Rows of ``record`` per page: carried columns, position in the page, picked fields, error text.
+
+    Spark hands over thousands of pages as one batch; they are opened and given back in slices, so that
+    what a worker holds follows from the batch alone and not from the input or the records of its pages.
+    """
     carried = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in carry)
-    columns = [*carry, "position", *record.fields, "parse_error"]
+    ddl = f"{carried}, position int, {record.ddl}, parse_error string"
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for html, *kept in batch[["html", *carry]].itertuples(index=False, name=None):
-                try:
-                    rows += [(*kept, i, *fields, None) for i, fields in enumerate(_picked(parse_html(html), record))]
-                except (AttributeError, ValueError, TypeError) as error:
-                    rows.append((*kept, 0, *[None] * len(record.fields), str(error)))
-            yield pd.DataFrame(rows, columns=columns)
-
-    return pages.select("html", *carry).mapInPandas(run, f"{carried}, position int, {record.ddl}, parse_error string")
+            for part in _slices(batch):
+                rows = [(*kept, *found) for html, *kept in part for found in _page_rows(html, record)]
+                columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    return pages.select("html", *carry).mapInArrow(run, ddl)
 
 
 def _settle(rows: DataFrame, errors: bool) -> DataFrame:

@@ -99,3 +99,48 @@ def test_landing_keeps_first(frame):
     quote = '<div class="quote"><span class="text">“{}”</span><small class="author">X</small></div>'
     quotes = frame("page_no int, url string, html string", (1, "p1", quote.format("q") * 2), (2, "p2", quote.format("q") + quote.format("r")))
     assert rows(pages.land_quotes(quotes, stamp()).select("text")) == [("q",), ("r",)]
+
+
+def test_pages_are_opened_in_slices():
+    """A batch of thousands of pages is opened a few pages at once, and large pages fewer at once."""
+    import pyarrow as pa
+
+    texts = ["a" * 10] * 1000 + ["é" * pages.PAGE_BYTES, None, "b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(1003))], names=["html", "page_no"])
+    parts = list(pages._slices(batch))
+    assert [row for part in parts for row in part] == list(zip(texts, range(1003)))
+    assert max(len(part) for part in parts) == pages.PAGES and len(parts) == 17
+    assert [len(part) for part in pages._slices(batch.slice(1000))] == [1, 2]
+
+
+def test_pages_give_the_same_rows_in_any_slices(frame, monkeypatch):
+    quote = '<div class="quote"><span class="text">“{}”</span><small class="author">X</small></div>'
+    cases = [(f"u{i}", quote.format(f"é{i}") * (i % 4), None if i == 3 else i) for i in range(40)] + [("none", None, 7)]
+    got = {}
+    for size in (1, 64):
+        monkeypatch.setattr(pages, "PAGES", size)
+        found = pages._extract(frame("url string, html string, page_no bigint", *cases).coalesce(1), pages.QUOTE, ["url", "page_no"])
+        got[size] = rows(found.select("url", "page_no", "position", "raw", "parse_error"))
+    want = [(u, n, k, f"“é{u[1:]}”", None) for u, html, n in cases if html is not None for k in range(html.count("quote"))]
+    assert got[1] == got[64] == sorted([*want, ("none", 7, 0, None, got[1][0][4])], key=repr)
+    assert "NoneType" in next(r[4] for r in got[1] if r[0] == "none")
+
+
+def test_released_page_leaves_no_cycle():
+    import gc
+    import weakref
+
+    class Held(str):
+        pass
+
+    page = parse_html("<div><p>a</p><p>b</p></div>")
+    text = Held("x")
+    page.first("p").children.append(text)
+    seen = weakref.ref(text)
+    gc.disable()
+    try:
+        page.release()
+        del page, text
+        assert seen() is None
+    finally:
+        gc.enable()
