@@ -40,9 +40,9 @@ def ingest_alerts(documents: DataFrame, dictionaries: Mapping[str, DataFrame], b
     stamp = F.lit(as_of).cast("timestamp_ntz")
     rows = normalize.alert_rows(documents, phenomena, colors, dictionaries["departments"])
     alerts = valid_rows(rows, "alert", "alerts", base, as_of)
-    upsert_landing(alerts, base, "alerts", created_at=stamp)
+    upsert_landing(alerts, base, "alerts", created_at=stamp, reread=True)
     by_store = alerts_by_store(alerts, dictionaries["stores"])
-    upsert_landing(valid_rows(by_store, "store_alert", "store_alerts", base, as_of), base, "store_alerts", created_at=stamp)
+    upsert_landing(valid_rows(by_store, "store_alert", "store_alerts", base, as_of), base, "store_alerts", created_at=stamp, reread=True)
     upsert_landing(normalize.metadata_rows(phenomena, colors), base, "alert_metadata")
 
 
@@ -60,13 +60,13 @@ def ingest_risks(documents: DataFrame, dictionaries: Mapping[str, DataFrame], ba
     parsed = staged(reports, "reports")
     rows = normalize.profile_rows(parsed, dictionaries["departments"])
     profiles = valid_rows(rows, "commune_profile", "commune_profiles", base, as_of)
-    upsert_landing(profiles, base, "commune_profiles", created_at=stamp)
+    upsert_landing(profiles, base, "commune_profiles", created_at=stamp, reread=True)
     details = normalize.detail_rows(parsed, dictionaries["risk_types"])
-    upsert_landing(valid_rows(details, "risk_detail", "risk_details", base, as_of), base, "risk_details", created_at=stamp)
+    upsert_landing(valid_rows(details, "risk_detail", "risk_details", base, as_of), base, "risk_details", created_at=stamp, reread=True)
     stores = risks_by_store(dictionaries.get("store_places", dictionaries["stores"]), profiles).withColumns(
         {"extracted_at": stamp, "extraction_date": stamp.cast("date")}
     )
-    upsert_landing(valid_rows(stores, "store_risk", "store_risks", base, as_of), base, "store_risks", created_at=stamp)
+    upsert_landing(valid_rows(stores, "store_risk", "store_risks", base, as_of), base, "store_risks", created_at=stamp, reread=True)
 
 
 def route_pages(parsed: DataFrame, source: str, page: str, base: str, as_of: str) -> tuple[DataFrame, int]:
@@ -103,7 +103,7 @@ def ingest_books(
     flagged = staged(detect_anomalies(valid, ["price", "stock_count"]), "books-flagged")
     anomalies, clean = split_anomalies(flagged)
     replace_partitions(anomalies, f"{base}/anomalies/books", "extraction_date", [f"extraction_date={as_of[:10]}"])
-    upsert_landing(clean, base, "books", created_at=stamp)
+    upsert_landing(clean, base, "books", created_at=stamp, reread=True)
     run.items_loaded += clean.count()
 
 
@@ -114,13 +114,13 @@ def ingest_quotes(
     stamp, run = F.lit(as_of).cast("timestamp_ntz"), run or RunMetrics()
     landed, failed = route_pages(pages.land_quotes(quote_pages, stamp, errors=True), "quotes", "page_url", base, as_of)
     quotes = valid_rows(landed.drop("page_url"), "quote", "quotes", base, as_of)
-    upsert_landing(quotes, base, "quotes", created_at=stamp)
+    upsert_landing(quotes, base, "quotes", created_at=stamp, reread=True)
     run.items_extracted += landed.count() - failed
     run.errors += failed
     run.items_loaded += quotes.count()
     parsed, lost = route_pages(pages.author_records(author_pages, stamp, errors=True), "authors", "slug", base, as_of)
     authors = valid_rows(parsed, "author", "authors", base, as_of)
-    upsert_landing(authors, base, "authors", created_at=stamp)
+    upsert_landing(authors, base, "authors", created_at=stamp, reread=True)
     run.errors += lost
 
 

@@ -46,13 +46,16 @@ def enforce_required(tables: Mapping[str, DataFrame]) -> None:
         raise CheckFailure("; ".join(broken))
 
 
-def export_staging(spark: SparkSession, views: Mapping[str, DataFrame], base: str) -> Catalog:
-    """Snapshot the staging views; dated ones by partition, the others whole."""
+def export_staging(spark: SparkSession, views: Mapping[str, DataFrame], base: str, *, by_date: bool = False) -> Catalog:
+    """Snapshot the staging views; dated ones by partition, the others whole.
+
+    ``by_date``: the views read landing tables that are stored by date, so their files have few dates each.
+    """
     catalog = Catalog(spark)
     for name, df in views.items():
         path = f"{base}/{name}"
         if name in DATED:
-            replace_partitions(df, path, "extraction_date")
+            replace_partitions(df, path, "extraction_date", gather=not by_date)
             day = df.schema["extraction_date"]
             files = df.drop("extraction_date").schema
             catalog.add(name, Dataset(path, "partitioned", files, day))
@@ -72,6 +75,7 @@ def refresh(
     lookback_days: int = 0,
     latest_only: bool = True,
     max_data_age_days: Mapping[str, int] | None = None,
+    by_date: bool = False,
 ) -> dict[str, int]:
     """Run staging, marts and reports below ``base``; returns row counts per report or raises.
 
@@ -79,10 +83,11 @@ def refresh(
     counts again. ``as_of`` is the run's timestamp; it stamps the reports, so a rerun gives the same
     files. The gate judges the stamps, and the newest extraction behind each report by
     ``max_data_age_days`` (default MAX_DATA_AGE). Dimensions that several marts read are written
-    once and read back.
+    once and read back. ``by_date`` says that the landing tables are stored by date, as the ingestion
+    jobs store them; their snapshots are then written without a shuffle.
     """
     enforce_required({name: landing[name] for name in REQUIRED_COLUMNS})
-    views = export_staging(spark, build_staging(landing, latest_only=latest_only), f"{base}/landing")
+    views = export_staging(spark, build_staging(landing, latest_only=latest_only), f"{base}/landing", by_date=by_date)
 
     def table(name: str, df: DataFrame) -> DataFrame:
         path = f"{base}/marts/{name}"

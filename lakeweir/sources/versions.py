@@ -169,14 +169,15 @@ def _leaves(spark: SparkSession, path: str, depth: int) -> list[str]:
     return names
 
 
-def write_files(df: DataFrame, folder: str, by: Sequence[str] = ()) -> tuple[str, ...]:
+def write_files(df: DataFrame, folder: str, by: Sequence[str] = (), gather: bool = True) -> tuple[str, ...]:
     """Write ``df`` to ``folder`` and name its files, or its partition folders. Nothing reads them yet.
 
     The rebalance hint gathers each partition's rows into few files, and lets adaptive execution
-    split a partition that holds most of the rows over several tasks.
+    split a partition that holds most of the rows over several tasks. It shuffles all rows; without
+    ``gather`` each task writes a file to every partition it has rows of.
     """
     if by:
-        df.hint("rebalance", *by).write.partitionBy(*by).parquet(folder)
+        (df.hint("rebalance", *by) if gather else df).write.partitionBy(*by).parquet(folder)
     else:
         df.write.parquet(folder)
     return tuple(_leaves(df.sparkSession, folder, max(0, len(by) - 1)))
@@ -226,19 +227,20 @@ def begin(spark: SparkSession, path: str) -> tuple[Version | None, int]:
 
 def commit(
     df: DataFrame, path: str, by: Sequence[str] = (), *, base: tuple[Version | None, int] | None = None,
-    ledger: Mapping[str, int] | None = None, also: Sequence[str] = (),
+    ledger: Mapping[str, int] | None = None, also: Sequence[str] = (), gather: bool = True,
 ) -> Version:
     """Write ``df`` to the table at ``path``, whole or not at all; ``df`` may read the table.
 
     Without ``by`` it replaces all rows; with it, the partitions that ``df`` has rows of, and those
     that ``also`` names as folders (``a=1/b=2``), which go if ``df`` has no rows of them. ``base`` is
     what ``begin`` returned before ``df`` was derived: if another writer has committed since, this
-    raises and the table keeps that writer's rows. ``ledger`` entries stay with the table.
+    raises and the table keeps that writer's rows. ``ledger`` entries stay with the table. ``gather``
+    is for ``write_files``.
     """
     spark, path = df.sparkSession, path.rstrip("/")
     before, number = base or begin(spark, path)
     folder = f"{VERSIONS}/{number:010d}-{uuid.uuid4().hex[:12]}"
-    items = write_files(df, f"{path}/{folder}", by)
+    items = write_files(df, f"{path}/{folder}", by, gather)
     if by:
         drops = tuple(name for name in also if name not in items and exists(spark, f"{path}/{name}"))
     else:

@@ -10,7 +10,7 @@ from lakeweir.plans import refresh as refresh_plan
 from lakeweir.plans.incremental import merge_new_alerts, refresh_alert_facts
 from lakeweir.plans.marts import fct_alerts
 from lakeweir.session import scratch
-from lakeweir.sources import documents, sinks
+from lakeweir.sources import documents, sinks, versions
 from lakeweir.sources.catalog import Catalog, Dataset
 from lakeweir.sources.schemas import LANDING, MONITORING
 from lakeweir.streaming import stream_files, upsert_stream
@@ -169,3 +169,56 @@ def test_scratch_is_deleted(spark, frame, tmp_path):
         kept.unionByName(inner).write.parquet(f"{tmp_path}/out")
     assert rows(spark.read.parquet(f"{tmp_path}/out")) == [(1,), (2,)] and rows(kept) == [(1,)]
     assert not glob.glob(path.removeprefix("file://"))
+
+
+def _plans(spark, monkeypatch):
+    """Plans of what is committed from now on."""
+    seen, write = [], versions.write_files
+
+    def noted(df, folder, by=(), gather=True):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString() + (" gathered" if gather else ""))
+        return write(df, folder, by, gather)
+
+    monkeypatch.setattr(versions, "write_files", noted)
+    return seen
+
+
+def test_first_load_merges_only_repeated_keys(spark, frame, tmp_path, monkeypatch):
+    """Rows alone with their key, repeated keys and NULLs in the key, loaded twice and in two ways, are stored alike."""
+    ddl, path = "k string, v int, extracted_at timestamp_ntz, d date", str(tmp_path / "t")
+    day, next_day, at = date(2024, 1, 1), date(2024, 1, 2), datetime(2024, 1, 1)
+    batch = [("a", 1, at, day), ("b", 1, at, day), ("b", 2, at, day), (None, 3, at, day), (None, 3, at, day), ("a", None, at, next_day)]
+    want = sorted([r for r in batch if r != ("b", 1, at, day)], key=repr)
+    split = []
+
+    def noted(batch, keys, parts=sinks._standing_alone):
+        alone, rest = parts(batch, keys)
+        split.append(alone and rows(alone.select("k", "v")))
+        return alone, rest
+
+    monkeypatch.setattr(sinks, "_standing_alone", noted)
+    for limit in (100, 0):
+        monkeypatch.setattr(sinks, "REPEATED_KEYS", limit)
+        for reread in (True, False):
+            path = str(tmp_path / f"t{limit}{reread}")
+            for _ in range(2):
+                sinks.upsert_table(frame(ddl, *batch), path, frame(ddl).schema, ["k", "d"], partition_by="d", reread=reread)
+                assert rows(versions.read_table(spark, path, frame(ddl).schema)) == want
+    assert split == 2 * [[("a", 1), ("a", None)]] + 2 * [None]
+    # Of a batch for a day that the table has and one that it lacks, all rows are merged.
+    more = [("a", 5, at, day), ("z", 6, at, date(2024, 1, 3))]
+    sinks.upsert_table(frame(ddl, *more), path, frame(ddl).schema, ["k", "d"], partition_by="d")
+    left = [*more, *[r for r in want if r != batch[0]]]
+    assert rows(versions.read_table(spark, path, frame(ddl).schema)) == sorted(left, key=repr)
+    assert len(split) == 4
+
+
+def test_few_partitions_are_not_gathered(spark, frame, tmp_path, monkeypatch):
+    ddl, seen = "k string, d date", _plans(spark, monkeypatch)
+    batch = [(str(i), date(2024, 1, 1 + i % 3)) for i in range(9)]
+    for few in (3, 2):
+        monkeypatch.setattr(sinks, "FEW_PARTITIONS", few)
+        path = str(tmp_path / str(few))
+        sinks.upsert_table(frame(ddl, *batch), path, frame(ddl).schema, ["k", "d"], partition_by="d", newest_by=None)
+        assert rows(versions.read_table(spark, path, frame(ddl).schema)) == sorted(batch, key=repr)
+    assert [plan.endswith("gathered") for plan in seen] == [False, True]
