@@ -59,6 +59,39 @@ def test_alerts(spark, frame, tmp_path):
         ingest.ingest_alerts(documents.where("false"), dictionaries, str(tmp_path), AS_OF)
 
 
+def test_store_alerts_are_made_once(spark, frame, tmp_path, monkeypatch):
+    """Gate and keys are settled before the join; what lands, and the rate, are those of all joined rows."""
+    day, at = date(2024, 1, 7), datetime(2024, 1, 7, 1)
+    later, day2 = datetime(2024, 1, 7, 2), date(2024, 1, 8)
+    alerts = frame(
+        "department_code string, department_name string, phenomenon_id int, phenomenon_name string, begin_time timestamp_ntz, "
+        "end_time timestamp_ntz, color_id int, color_name string, color_level int, color_hex string, extracted_at timestamp_ntz, extraction_date date",
+        *[(code, f"D{code}", n, wind, begin, None, n, color, n, "#f", seen, on)
+          for code in ("1", "2", "3", None) for n, (wind, begin, color, seen, on) in enumerate([
+              ("vent", at, "vert", at, day), ("vent", at, "rouge", later, day), ("vent", at, "jaune", later, day), ("neige", at, "vert", at, day2),
+              ("vent", None, "vert", at, day), ("vent", None, "vert", later, day), ("vent", None, "vert", at, day), (None, at, "vert", at, day)])],
+    )
+    pairs = [("a", "1"), ("a", "1"), ("b", "1"), ("b", "2"), ("c", "2"), ("c", "1"), ("d", "3"), ("e", "9"), ("f", None), (None, "1")]
+    stores = frame("gie_name string, department_code string", *pairs)
+    made = []
+    monkeypatch.setattr(ingest, "staged", lambda df, label: made.append(df.columns) or sinks.staged(df, label))
+    stamp = F.lit(AS_OF).cast("timestamp_ntz")
+    for per_task in (ingest.PER_TASK, 2):
+        monkeypatch.setattr(ingest, "PER_TASK", per_task)
+        base, plain = f"{tmp_path}/{per_task}", f"{tmp_path}/plain{per_task}"
+        for _ in range(2):
+            ingest.land_store_alerts(alerts, stores, base, AS_OF, minimum=0.5)
+            by_store = ingest.alerts_by_store(alerts, stores)
+            valid = by_store.where("gie_name IS NOT NULL AND phenomenon_name IS NOT NULL")
+            sinks.upsert_landing(valid, plain, "store_alerts", created_at=stamp)
+            assert rows(sinks.read_landing(spark, base, "store_alerts")) == rows(sinks.read_landing(spark, plain, "store_alerts"))
+        log = spark.read.parquet(f"{base}/{ingest.RUN_LOG}").select("total_records", "valid_records", "error_records").distinct()
+        assert rows(log) == [(by_store.count(), valid.count(), by_store.count() - valid.count())]
+    assert made and not [columns for columns in made if {"gie_name", "phenomenon_name"} <= {*columns}]
+    with pytest.raises(QualityGateError):
+        ingest.land_store_alerts(alerts, stores.where("department_code = '9'"), base, AS_OF)
+
+
 def test_risks(spark, frame, tmp_path):
     text = '{"01001":{"commune":{"libelle":"A","codePostal":"01400"},"risquesNaturels":{"seisme":{"present":true,"libelleStatutCommune":"faible"}}}}'
     stamp = F.lit(AS_OF).cast("timestamp_ntz")
