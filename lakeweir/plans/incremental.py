@@ -25,14 +25,17 @@ def merge_new_alerts(target: DataFrame, alerts: DataFrame, lookback_days: int =
     return upsert(target, fresh, KEYS)
 
 
-def refresh_alert_facts(spark: SparkSession, alerts: DataFrame, path: str, lookback_days: int = 0) -> None:
+def refresh_alert_facts(
+    spark: SparkSession, alerts: DataFrame, path: str, lookback_days: int = 0, *, reread: bool = False
+) -> None:
     """The same on a Parquet table partitioned by date; only touched dates are rewritten.
 
-    The mark is read first and used as a literal, so the scan of ``alerts`` is pruned by it.
+    The mark is read first and used as a literal, so the scan of ``alerts`` is pruned by it. ``reread``
+    says that ``alerts`` are read from files with no shuffle, as a snapshot of staging is.
     """
     schema = fct_alerts(alerts).schema
     if path_exists(spark, path):
         mark = read_table(spark, path, schema).agg(F.max("extraction_date")).first()[0]
         if mark is not None:
             alerts = alerts.where(F.col("extraction_date") > F.date_sub(F.lit(mark), lookback_days))
-    upsert_table(fct_alerts(alerts), path, schema, KEYS, partition_by="extraction_date")
+    upsert_table(fct_alerts(alerts), path, schema, KEYS, partition_by="extraction_date", reread=reread)

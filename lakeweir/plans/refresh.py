@@ -49,7 +49,8 @@ def enforce_required(tables: Mapping[str, DataFrame]) -> None:
 def export_staging(spark: SparkSession, views: Mapping[str, DataFrame], base: str, *, by_date: bool = False) -> Catalog:
     """Snapshot the staging views; dated ones by partition, the others whole.
 
-    ``by_date``: the views read landing tables that are stored by date, so their files have few dates each.
+    ``by_date``: the views read landing tables that are stored by date, so their files have few dates each,
+    or hold few dates in all.
     """
     catalog = Catalog(spark)
     for name, df in views.items():
@@ -84,7 +85,7 @@ def refresh(
     files. The gate judges the stamps, and the newest extraction behind each report by
     ``max_data_age_days`` (default MAX_DATA_AGE). Dimensions that several marts read are written
     once and read back. ``by_date`` says that the landing tables are stored by date, as the ingestion
-    jobs store them; their snapshots are then written without a shuffle.
+    jobs store them, or have FEW_PARTITIONS dates at most; their snapshots are then written without a shuffle.
     """
     enforce_required({name: landing[name] for name in REQUIRED_COLUMNS})
     views = export_staging(spark, build_staging(landing, latest_only=latest_only), f"{base}/landing", by_date=by_date)
@@ -95,7 +96,7 @@ def refresh(
         return read_table(spark, path, df.schema)
 
     facts = f"{base}/marts/fct_alerts"
-    refresh_alert_facts(spark, views["stg_alerts"], facts, lookback_days)
+    refresh_alert_facts(spark, views["stg_alerts"], facts, lookback_days, reread=True)
     alerts = read_table(spark, facts, marts.fct_alerts(views["stg_alerts"]).schema)
     history = extraction_history(refresh_history(spark, views["stg_commune_profiles"], f"{base}/state/commune_history"))
     communes = table("dim_communes", marts.dim_communes(views["stg_commune_profiles"], views["stg_risk_details"], history))

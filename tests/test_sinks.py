@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeweir.plans import refresh as refresh_plan
+from lakeweir.plans import staging
 from lakeweir.plans.incremental import merge_new_alerts, refresh_alert_facts
 from lakeweir.plans.marts import fct_alerts
 from lakeweir.session import scratch
@@ -213,6 +214,23 @@ def test_first_load_merges_only_repeated_keys(spark, frame, tmp_path, monkeypatc
     assert len(split) == 4
 
 
+def test_alert_facts_of_a_snapshot_are_not_written_twice(spark, tmp_path, monkeypatch):
+    alerts, labels = staging.stg_alerts(Tables(spark, SMALL).alerts), []
+    monkeypatch.setattr(sinks, "working_path", lambda s, label, path=sinks.working_path: labels.append(label) or path(s, label))
+    schema = fct_alerts(alerts).schema
+    for reread in (False, True):
+        path = f"{tmp_path}/{reread}"
+        refresh_alert_facts(spark, alerts.where("extraction_date <= DATE '2024-01-20'"), path, reread=reread)
+        refresh_alert_facts(spark, alerts, path, reread=reread)
+    assert rows(versions.read_table(spark, f"{tmp_path}/True", schema)) == rows(versions.read_table(spark, f"{tmp_path}/False", schema))
+    assert labels.count("upsert") == 2
+
+
+def test_few_values(frame, monkeypatch):
+    monkeypatch.setattr(sinks, "FEW_PARTITIONS", 2)
+    assert [sinks.few_values(frame("d int", *[(i % n,) for i in range(9)])) for n in (1, 2, 3)] == [True, True, False]
+
+
 def test_few_partitions_are_not_gathered(spark, frame, tmp_path, monkeypatch):
     ddl, seen = "k string, d date", _plans(spark, monkeypatch)
     batch = [(str(i), date(2024, 1, 1 + i % 3)) for i in range(9)]
