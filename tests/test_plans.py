@@ -1,5 +1,6 @@
 from datetime import date, datetime, timedelta
 
+import pyarrow.parquet as parquet
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +93,28 @@ def test_store_alerts_are_made_once(spark, frame, tmp_path, monkeypatch):
         ingest.land_store_alerts(alerts, stores.where("department_code = '9'"), base, AS_OF)
 
 
+def test_store_alerts_are_written_by_group(spark, frame, tmp_path, monkeypatch):
+    """Files are counted by the rows that land, hold the stores of few departments, and none far more rows than its share."""
+    days, at = (date(2024, 1, 7), date(2024, 1, 8)), datetime(2024, 1, 7, 1)
+    alerts = frame(
+        "department_code string, department_name string, phenomenon_id int, phenomenon_name string, begin_time timestamp_ntz, "
+        "end_time timestamp_ntz, color_id int, color_name string, color_level int, color_hex string, extracted_at timestamp_ntz, extraction_date date",
+        *[(code, f"D{code}", 1, "vent", at + timedelta(hours=n) if n else None, None, 1, "vert", 1, "#f", at + timedelta(minutes=again if n else 0), day)
+          for code in "1234" for day in days for n in range(30) for again in range(20)],
+    )
+    stores = frame("gie_name string, department_code string", *[(f"s{code}-{n}", code) for code, count in (("1", 60), ("2", 4), ("3", 4)) for n in range(count)])
+    monkeypatch.setattr(ingest, "PER_TASK", 200)
+    ingest.land_store_alerts(alerts, stores, str(tmp_path), AS_OF)
+    plain, stamp = f"{tmp_path}/plain", F.lit(AS_OF).cast("timestamp_ntz")
+    sinks.upsert_landing(ingest.alerts_by_store(alerts, stores), plain, "store_alerts", created_at=stamp)
+    landed = rows(sinks.read_landing(spark, str(tmp_path), "store_alerts"))
+    assert landed == rows(sinks.read_landing(spark, plain, "store_alerts"))
+    files = [parquet.read_table(path).column("department_code").to_pylist() for path in tmp_path.glob("store_alerts/*/*.parquet")]
+    assert len(files) <= 2 * (1 + len(landed) // 200)
+    assert max(map(len, files)) <= 3 * 200
+    assert all(sum(a != b for a, b in zip(codes, codes[1:])) <= 2 for codes in files)
+
+
 def test_risks(spark, frame, tmp_path):
     text = '{"01001":{"commune":{"libelle":"A","codePostal":"01400"},"risquesNaturels":{"seisme":{"present":true,"libelleStatutCommune":"faible"}}}}'
     stamp = F.lit(AS_OF).cast("timestamp_ntz")
